@@ -106,7 +106,7 @@ class RiskPrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrita
             deviations=[statistics[c][1] for c in CONTINUOUS],
             modes=["" if mode is None else str(mode) for mode in modes],
         )
-        return model.setParent(self)
+        return model
 
 
 class RiskPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):

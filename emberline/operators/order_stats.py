@@ -12,9 +12,11 @@ at most ``direct`` values are left are they sorted in one aggregate.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,13 +45,32 @@ class _Search:
         return condition
 
 
-def kth_values(df: DataFrame, values: Mapping[str, Column], ranks: Mapping[str, Sequence[int]],
-               counts: Mapping[str, int] | None = None, direct: int = DIRECT,
-               accuracy: int = ACCURACY) -> dict[tuple[str, int], float]:
-    """Exact k-th smallest values (0-based ranks), all columns at once."""
+@contextmanager
+def _narrow_table(df: DataFrame, values: Mapping[str, Column], keep: bool) -> Iterator[DataFrame]:
+    """The searched columns alone, kept while the rounds scan them."""
     table = df.select(*[expr.cast("double").alias(name) for name, expr in values.items()])
-    if counts is None:
-        counts = count_values(df, values)
+    if not keep:
+        yield table
+        return
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield table
+    finally:
+        table.unpersist()
+
+
+def kth_values(df: DataFrame, values: Mapping[str, Column], ranks: Mapping[str, Sequence[int]],
+               counts: Mapping[str, int], keep: bool = True, **options) -> dict[tuple[str, int], float]:
+    """Exact k-th smallest values (0-based ranks), all columns at once.
+
+    ``keep=False`` scans ``df`` anew each round: better for plain file scans.
+    """
+    with _narrow_table(df, values, keep) as table:
+        return _search(table, ranks, counts, **options)
+
+
+def _search(table: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int],
+            direct: int = DIRECT, accuracy: int = ACCURACY) -> dict[tuple[str, int], float]:
     found = {}
     for name, wanted in ranks.items():
         for rank in wanted:
@@ -127,20 +148,20 @@ def _pick(table: DataFrame, searches: list[_Search]) -> None:
 
 
 def quantiles(df: DataFrame, values: Mapping[str, Column] | Sequence[str], shares: Sequence[float],
-              **options) -> dict[str, list[float | None]]:
+              keep: bool = True, **options) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation between neighbours.
 
     NULLs are ignored; a column without values gives ``None`` throughout.
     """
     if not isinstance(values, Mapping):
         values = {name: F.col(name) for name in values}
-    counts = count_values(df, values)
-    ranks = {}
-    for name, n in counts.items():
-        positions = [share * (n - 1) for share in shares] if n else []
-        ranks[name] = sorted({f(p) for p in positions for f in (math.floor, math.ceil)})
-    kept = {name: values[name] for name in values if counts[name]}
-    found = kth_values(df, kept, {n: ranks[n] for n in kept}, counts, **options) if kept else {}
+    with _narrow_table(df, values, keep) as table:
+        counts = count_values(table, {name: F.col(name) for name in values})
+        ranks = {}
+        for name, n in counts.items():
+            positions = [share * (n - 1) for share in shares] if n else []
+            ranks[name] = sorted({f(p) for p in positions for f in (math.floor, math.ceil)})
+        found = _search(table, ranks, counts, **options)
     result: dict[str, list[float | None]] = {}
     for name, n in counts.items():
         if not n:
