@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.functions import scalars as s
-from emberline.plans.pipeline import detections_table, transform
+from emberline.plans.treatment import detections_table, transform
 from emberline.plans.warehouse import bind_detections, bind_weather
 from emberline.sources.detections import standardise
 

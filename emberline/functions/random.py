@@ -2,6 +2,7 @@
 
 Each draw hashes (row key, stream name, seed), so a row gets the same value
 whatever the partitioning, and a recomputed task repeats its draws exactly.
+Keys are column names or SQL text.
 """
 
 from __future__ import annotations
@@ -11,28 +12,37 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from emberline.functions.scalars import column
-
 _TWO_53 = float(2 ** 53)
 
 
-def hash53(key: Column | str, stream: str, seed: int = 42) -> Column:
-    """53 hash bits as a non-negative long (exact as a double)."""
-    return F.shiftrightunsigned(F.xxhash64(column(key), F.lit(stream), F.lit(seed)), 11)
+def _hash(key: str, stream: str, seed: int) -> str:
+    return f"shiftrightunsigned(xxhash64({key}, '{stream}', {seed}), 11)"
 
 
-def uniform(key, stream: str, low: float = 0.0, high: float = 1.0, seed: int = 42) -> Column:
-    unit = (hash53(key, stream, seed).cast("double") + 0.5) / _TWO_53
-    return unit * (high - low) + low
+def _unit(key: str, stream: str, seed: int) -> str:
+    return f"((cast({_hash(key, stream, seed)} as double) + 0.5D) / double('{_TWO_53!r}'))"
 
 
-def normal(key, stream: str, mean: float = 0.0, std: float = 1.0, seed: int = 42) -> Column:
+def _normal(key: str, stream: str, seed: int) -> str:
     """Box-Muller."""
-    radius = F.sqrt(-2.0 * F.log(uniform(key, stream + ".r", seed=seed)))
-    return radius * F.cos(2.0 * math.pi * uniform(key, stream + ".a", seed=seed)) * std + mean
+    angle = f"{2 * math.pi!r}D * {_unit(key, stream + '.a', seed)}"
+    return f"(sqrt(-2.0D * ln({_unit(key, stream + '.r', seed)})) * cos({angle}))"
+
+
+def hash53(key: str, stream: str, seed: int = 42) -> Column:
+    """53 hash bits as a non-negative long (exact as a double)."""
+    return F.expr(_hash(key, stream, seed))
+
+
+def uniform(key: str, stream: str, low: float = 0.0, high: float = 1.0, seed: int = 42) -> Column:
+    return F.expr(f"{_unit(key, stream, seed)} * double('{high - low!r}') + double('{low!r}')")
+
+
+def normal(key: str, stream: str, mean: float = 0.0, std: float = 1.0, seed: int = 42) -> Column:
+    return F.expr(f"{_normal(key, stream, seed)} * double('{std!r}') + double('{mean!r}')")
 
 
-def gamma(key, stream: str, shape: float, scale: float, seed: int = 42, tries: int = 8) -> Column:
+def gamma(key: str, stream: str, shape: float, scale: float, seed: int = 42, tries: int = 8) -> Column:
     """Marsaglia-Tsang for shape >= 1, the first accepted of ``tries`` proposals.
 
     A proposal is accepted with probability above 0.95, so that all tries fail
@@ -41,18 +51,17 @@ def gamma(key, stream: str, shape: float, scale: float, seed: int = 42, tries: i
     d = shape - 1.0 / 3.0
     c = 1.0 / math.sqrt(9.0 * d)
 
-    def proposal(i: int) -> Column:
-        x = normal(key, f"{stream}.n{i}", seed=seed)
-        v = F.pow(1.0 + c * x, 3.0)
-        log_u = F.log(uniform(key, f"{stream}.u{i}", seed=seed))
-        accepted = (v > 0) & (log_u < 0.5 * x * x + d - d * v + d * F.log(v))
-        return F.when(accepted, d * v)
+    def proposal(i: int) -> str:
+        x = _normal(key, f"{stream}.n{i}", seed)
+        v = f"pow(1.0D + {c!r}D * {x}, 3.0D)"
+        bound = f"0.5D * {x} * {x} + {d!r}D - {d!r}D * {v} + {d!r}D * ln({v})"
+        return f"if({v} > 0 and ln({_unit(key, f'{stream}.u{i}', seed)}) < {bound}, {d!r}D * {v}, null)"
 
-    accepted = F.coalesce(*[proposal(i) for i in range(tries)], F.lit(max(shape - 1.0, 0.0)))
-    return accepted * scale
+    proposals = ", ".join(proposal(i) for i in range(tries))
+    return F.expr(f"coalesce({proposals}, {max(shape - 1.0, 0.0)!r}D) * {float(scale)!r}D")
 
 
-def poisson(key, stream: str, mean: float, seed: int = 42) -> Column:
+def poisson(key: str, stream: str, mean: float, seed: int = 42) -> Column:
     """Inverse transform: how many cumulative probabilities the draw exceeds."""
     term, total, cumulative = math.exp(-mean), 0.0, []
     k = 0
@@ -61,17 +70,15 @@ def poisson(key, stream: str, mean: float, seed: int = 42) -> Column:
         cumulative.append(total)
         k += 1
         term *= mean / k
-    u = uniform(key, stream, seed=seed)
-    table = F.array(*[F.lit(p) for p in cumulative])
-    return F.size(F.filter(table, lambda p: p < u))
+    table = ", ".join(f"double('{p!r}')" for p in cumulative)
+    return F.expr(f"size(filter(array({table}), p -> p < {_unit(key, stream, seed)}))")
 
 
-def choice(key, stream: str, options: list[str], seed: int = 42) -> Column:
-    table = F.array(*[F.lit(option) for option in options])
-    position = F.floor(uniform(key, stream, seed=seed) * len(options)).cast("int") + 1
-    return F.element_at(table, position)
+def choice(key: str, stream: str, options: list[str], seed: int = 42) -> Column:
+    table = ", ".join(f"'{option}'" for option in options)
+    return F.expr(f"element_at(array({table}), cast(floor({_unit(key, stream, seed)} * {len(options)}) as int) + 1)")
 
 
-def randint(key, stream: str, low: int, high: int, seed: int = 42) -> Column:
+def randint(key: str, stream: str, low: int, high: int, seed: int = 42) -> Column:
     """Whole number in ``[low, high]``."""
-    return F.floor(uniform(key, stream, low, high + 1, seed)).cast("int")
+    return F.expr(f"cast(floor({_unit(key, stream, seed)} * {high + 1 - low}) as int) + {low}")

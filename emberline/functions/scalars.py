@@ -1,4 +1,8 @@
-"""Column expressions: coercion, keys, flags, proxies. Everything stays JVM-side."""
+"""Column expressions: coercion, keys, flags, proxies. Everything stays JVM-side.
+
+Arguments are column names unless said otherwise; bodies are SQL text, which
+builds in one step where long chains of Column calls take many.
+"""
 
 from __future__ import annotations
 
@@ -10,141 +14,142 @@ from pyspark.sql import functions as F
 from emberline import lookups
 
 
-def column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def literal(value: str | float) -> str:
+    """A SQL literal; numbers as doubles."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"double('{value!r}')"
 
 
-def to_number(value: Column | str) -> Column:
+def to_number(name: str) -> Column:
     """Double, or NULL for whatever is no number (NaN included)."""
-    number = column(value).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.expr(f"nullif(try_cast({name} as double), double('NaN'))")
+
+
+def _text_number(name: str) -> str:
+    """For free text: a trailing Java ``d``/``f`` is no number."""
+    end = f"lower(rtrim(cast({name} as string)))"
+    suffixed = f"endswith({end}, 'd') or endswith({end}, 'f') and not endswith({end}, 'inf')"
+    return f"if({suffixed}, null, nullif(try_cast({name} as double), double('NaN')))"
+
+
+def text_to_number(name: str) -> Column:
+    return F.expr(_text_number(name))
 
 
-def text_to_number(value: Column | str) -> Column:
-    """``to_number`` for free text: a trailing Java ``d``/``f`` is no number."""
-    text = column(value).cast("string")
-    end = F.lower(F.rtrim(text))
-    suffixed = F.endswith(end, F.lit("d")) | (F.endswith(end, F.lit("f")) & ~F.endswith(end, F.lit("inf")))
-    return F.when(~suffixed, to_number(text))
+def _zero_filled(value: str, width: int) -> str:
+    text = f"cast({value} as string)"
+    return f"if(length({text}) >= {width}, {text}, lpad({text}, {width}, '0'))"
 
 
-def zero_fill(value: Column | str, width: int = 4) -> Column:
+def zero_fill(value: str, width: int = 4) -> Column:
     """Left-pad with zeros; longer text stays whole (``lpad`` alone cuts it)."""
-    text = column(value).cast("string")
-    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+    return F.expr(_zero_filled(value, width))
 
 
-def coordinate_text(value: Column | str) -> Column:
+def _coordinate(name: str) -> str:
     """Four-decimal coordinate without trailing zeros, one decimal at least."""
-    text = F.rtrim(column(value).cast("decimal(9,4)").cast("string"), F.lit("0"))
-    return F.when(F.endswith(text, F.lit(".")), F.concat(text, F.lit("0"))).otherwise(text)
+    text = f"rtrim('0', cast(cast({name} as decimal(9,4)) as string))"
+    return f"if(endswith({text}, '.'), concat({text}, '0'), {text})"
 
 
-def natural_key(latitude, longitude, day, time) -> Column:
-    return F.concat_ws("|", coordinate_text(latitude), coordinate_text(longitude),
-                       column(day).cast("string"), zero_fill(time))
+def natural_key(latitude: str, longitude: str, day: str, time: str) -> Column:
+    return F.expr(f"concat_ws('|', {_coordinate(latitude)}, {_coordinate(longitude)}, "
+                  f"cast({day} as string), {_zero_filled(time, 4)})")
 
 
-def confidence_percent(value: Column | str) -> Column:
+def confidence_percent(name: str) -> Column:
     """Numeric text as is, letter codes by table, anything else NULL."""
-    code = F.lower(F.trim(column(value).cast("string")))
-    by_code = F.coalesce(*[F.when(code == letter, F.lit(percent))
-                           for letter, percent in lookups.CONFIDENCE_CODES.items()])
-    return F.coalesce(text_to_number(value), by_code)
+    codes = " ".join(f"when {literal(code)} then {literal(percent)}"
+                     for code, percent in lookups.CONFIDENCE_CODES.items())
+    return F.expr(f"coalesce({_text_number(name)}, case lower(trim(cast({name} as string))) {codes} end)")
 
 
-def confident(value: Column | str, minimum: float = lookups.MIN_CONFIDENCE) -> Column:
-    return F.coalesce(column(value), F.lit(0.0)) >= minimum
+def confident(name: str, minimum: float = lookups.MIN_CONFIDENCE) -> Column:
+    return F.expr(f"coalesce({name}, 0) >= {minimum}")
 
 
-def clip(value: Column | str, low, high) -> Column:
+def clip(value: Column | str, low: float, high: float) -> Column:
     """Bound a value; NULL stays NULL (``greatest``/``least`` skip NULLs)."""
-    value = column(value)
-    bounded = F.least(F.greatest(value, F.lit(low)), F.lit(high))
-    return F.when(value.isNotNull(), bounded)
+    if isinstance(value, str):
+        bounded = f"least(greatest({value}, {literal(low)}), {literal(high)})"
+        return F.expr(f"if({value} is null, null, {bounded})")
+    return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
-def lookup(value: Column | str, table: Mapping[str, float], default: float) -> Column:
-    """Dictionary lookup with a default, as a literal map."""
-    entries = [F.lit(item) for pair in table.items() for item in pair]
-    return F.coalesce(F.element_at(F.create_map(*entries), column(value)), F.lit(default))
+def _lookup(name: str, table: Mapping[str, float], default: float) -> str:
+    whens = " ".join(f"when {literal(key)} then {literal(value)}" for key, value in table.items())
+    return f"(case {name} {whens} else {literal(default)} end)"
 
 
-def ndvi_of(biome: Column | str) -> Column:
-    return lookup(biome, lookups.NDVI_BY_BIOME, lookups.DEFAULT_NDVI)
+def ndvi_of(biome: str) -> Column:
+    return F.expr(_lookup(biome, lookups.NDVI_BY_BIOME, lookups.DEFAULT_NDVI))
 
 
-def dryness_of(biome: Column | str) -> Column:
-    return lookup(biome, lookups.DRYNESS_BY_BIOME, lookups.DEFAULT_DRYNESS)
+def dryness_of(biome: str) -> Column:
+    return F.expr(_lookup(biome, lookups.DRYNESS_BY_BIOME, lookups.DEFAULT_DRYNESS))
 
 
-def dry_flag(humidity="umidade", rain="precipitacao") -> Column:
-    dry = (column(humidity) < 30) & (column(rain) < 1)
-    return F.coalesce(dry, F.lit(False)).cast("int")
+def dry_flag(humidity: str = "umidade", rain: str = "precipitacao") -> Column:
+    return F.expr(f"cast(coalesce({humidity} < 30 and {rain} < 1, false) as int)")
 
 
-def days_without_rain(rain="precipitacao_mm") -> Column:
+def days_without_rain(rain: str = "precipitacao_mm") -> Column:
     """Rain proxy: 30 minus the rain, half-even to whole days."""
-    return F.bround(clip(F.lit(30.0) - clip(column(rain).cast("double"), 0.0, 30.0), 0.0, 60.0)).cast("int")
+    bounded = f"least(greatest(cast({rain} as double), 0.0D), 30.0D)"
+    return F.expr(f"if({rain} is null, null, cast(bround(30.0D - {bounded}) as int))")
 
 
-def strong_wind(wind="velocidade_vento") -> Column:
-    return (F.coalesce(column(wind).cast("double"), F.lit(0.0)) >= 20).cast("int")
+def strong_wind(wind: str = "velocidade_vento") -> Column:
+    return F.expr(f"cast(coalesce(cast({wind} as double), 0.0D) >= 20 as int)")
 
 
-def dry_season(days="dias_sem_chuva") -> Column:
-    return F.coalesce(column(days) >= 10, F.lit(False)).cast("int")
+def dry_season(days: str = "dias_sem_chuva") -> Column:
+    return F.expr(f"cast(coalesce({days} >= 10, false) as int)")
 
 
-def dryness_index(humidity_median: float | None, temperature="temperatura", humidity="umidade") -> Column:
-    filled = F.coalesce(column(humidity).cast("double"), F.lit(humidity_median).cast("double"))
-    return column(temperature).cast("double") / (filled + 1)
+def dryness_index(humidity_median: float | None, temperature: str = "temperatura",
+                  humidity: str = "umidade") -> Column:
+    fill = "null" if humidity_median is None else literal(float(humidity_median))
+    return F.expr(f"cast({temperature} as double) / (coalesce(cast({humidity} as double), {fill}) + 1)")
 
 
-def ms_to_kmh(speed: Column | str) -> Column:
-    return column(speed) * 3.6
+def ms_to_kmh(speed: str) -> Column:
+    return F.expr(f"{speed} * 3.6D")
 
 
-def sigmoid(score: Column) -> Column:
-    return 1 / (1 + F.exp(-score))
+def _risk(score: str, noise: Column | None) -> Column:
+    """1 where the sigmoid of the score exceeds one half, 0 also for NULL."""
+    total = F.expr(score) if noise is None else F.expr(score) + noise
+    return F.coalesce(1 / (1 + F.exp(-total)) > 0.5, F.lit(False)).cast("int")
 
 
 def observed_risk(noise: Column | None = None) -> Column:
     """Label from satellite readings and biome dryness."""
-    score = (2.5 * (dryness_of("bioma") - 0.7)
-             + 0.025 * (F.col("frp").cast("double") - 30)
-             + 0.030 * (F.col("brilho").cast("double") - 335))
-    if noise is not None:
-        score = score + noise
-    return F.coalesce(sigmoid(score) > 0.5, F.lit(False)).cast("int")
+    dryness = _lookup("bioma", lookups.DRYNESS_BY_BIOME, lookups.DEFAULT_DRYNESS)
+    return _risk(f"2.5D * ({dryness} - 0.7D) + 0.025D * (cast(frp as double) - 30)"
+                 " + 0.030D * (cast(brilho as double) - 335)", noise)
 
 
 def simulated_risk(noise: Column | None = None) -> Column:
     """Label from weather, terrain and vegetation."""
-    terms = [
-        0.16 * (F.col("temperatura") - 30), -0.07 * (F.col("umidade") - 45),
-        0.13 * (F.col("velocidade_vento") - 12), -0.10 * F.col("precipitacao_mm"),
-        0.14 * (F.col("dias_sem_chuva") - 8), 0.012 * (F.col("frp") - 50),
-        1.6 * (dryness_of("bioma") - 0.8), 1.8 * (F.col("ndvi") - 0.5),
-    ]
-    if noise is not None:
-        terms.append(noise)
-    score = sum(terms[1:], terms[0])
-    return F.coalesce(sigmoid(score) > 0.5, F.lit(False)).cast("int")
+    dryness = _lookup("bioma", lookups.DRYNESS_BY_BIOME, lookups.DEFAULT_DRYNESS)
+    return _risk("0.16D * (temperatura - 30) - 0.07D * (umidade - 45) + 0.13D * (velocidade_vento - 12)"
+                 " - 0.10D * precipitacao_mm + 0.14D * (dias_sem_chuva - 8) + 0.012D * (frp - 50)"
+                 f" + 1.6D * ({dryness} - 0.8D) + 1.8D * (ndvi - 0.5D)", noise)
 
 
-def alert_tier(probability="probabilidade") -> Column:
-    p = column(probability)
-    return F.when(p >= 0.7, "alto").when(p >= 0.4, "moderado").otherwise("baixo")
+def alert_tier(probability: str = "probabilidade") -> Column:
+    return F.expr(f"case when {probability} >= 0.7D then 'alto' when {probability} >= 0.4D then 'moderado' "
+                  "else 'baixo' end")
 
 
-def month_start_recency(day, as_of: str, months: int = 1) -> Column:
+def month_recency(day: str, as_of: str, months: int = 1) -> Column:
     """``day`` within the last ``months``; a month's last day maps to a last day."""
-    today = F.lit(as_of).cast("date")
-    back = F.add_months(today, -months)
-    snapped = F.when(today == F.last_day(today), F.last_day(back)).otherwise(back)
-    return column(day) >= snapped
+    today = f"date'{as_of}'"
+    back = f"add_months({today}, -{months})"
+    return F.expr(f"{day} >= if({today} = last_day({today}), last_day({back}), {back})")
 
 
-def day_recency(day, as_of: str, days: int = 30) -> Column:
-    return column(day) >= F.date_sub(F.lit(as_of).cast("date"), days)
+def day_recency(day: str, as_of: str, days: int = 30) -> Column:
+    return F.expr(f"{day} >= date_sub(date'{as_of}', {days})")

@@ -47,7 +47,7 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str], factor: float = 1.5, **opt
 
 
 def iqr_clip(df: DataFrame, bounds: Bounds) -> DataFrame:
-    return df.withColumns({c: s.clip(F.col(c).cast("double"), low, high) for c, (low, high) in bounds.items()})
+    return df.withColumns({c: s.clip(f"cast({c} as double)", low, high) for c, (low, high) in bounds.items()})
 
 
 def scale_statistics(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -126,7 +126,7 @@ class RiskPrepModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         inputs = {}
         for i, c in enumerate(CONTINUOUS):
             filled = F.coalesce(
-                s.clip(F.col(c).cast("double"), get(self.lower)[i], get(self.upper)[i]),
+                s.clip(f"cast({c} as double)", get(self.lower)[i], get(self.upper)[i]),
                 F.lit(get(self.medians)[i]))
             inputs[f"x_{c}"] = (filled - get(self.means)[i]) / get(self.deviations)[i]
         for i, c in enumerate(CATEGORICAL):

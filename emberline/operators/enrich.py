@@ -13,9 +13,25 @@ from emberline.operators.order_stats import medians
 from emberline.schemas import KEY, WEATHER_COLUMNS
 
 
-def stage_join(detections: DataFrame, weather: DataFrame) -> DataFrame:
-    """Plain left join by key; duplicates on both sides multiply."""
-    return detections.join(weather, KEY, "left")
+def stage_join(detections: DataFrame, weather: DataFrame,
+               order: Sequence[Column | str] = ("ordinal",)) -> DataFrame:
+    """Left join by key for the stage between extraction and treatment.
+
+    Only the first weather row per key goes in. Later steps keep just that one,
+    so nothing is lost, and repeated keys on both sides do not multiply.
+    """
+    columns = [c for c in WEATHER_COLUMNS if c in weather.columns]
+    return detections.join(keep_first(weather, KEY, order).select(KEY, *columns), KEY, "left")
+
+
+def fan_out(detections: DataFrame, weather: DataFrame) -> DataFrame:
+    """Rows per key a plain left join would have, without joining row to row."""
+    left = detections.groupBy(KEY).agg(F.count(F.lit(1)).alias("focos"))
+    right = weather.groupBy(KEY).agg(F.count(F.lit(1)).alias("climas"))
+    climates = F.coalesce(F.col("climas"), F.lit(0))
+    return left.join(right, KEY, "left").select(
+        KEY, (F.col("focos") * F.greatest(climates, F.lit(1))).alias("linhas"),
+        (F.col("focos") * climates).alias("com_clima"))
 
 
 def coerce_weather(weather: DataFrame, columns: Sequence[str] = WEATHER_COLUMNS) -> DataFrame:

@@ -302,7 +302,7 @@ def dedup_full_rows(spark, sf_dir):
 @query
 def column_split(spark, sf_dir):
     staged = enrich.stage_join(_clean(spark, sf_dir).select(KEY, "frp"),
-                               _weather(spark, sf_dir).select(KEY, *schemas.WEATHER_COLUMNS))
+                               _weather(spark, sf_dir))
     detections, weather = clean.split_stage(staged, schemas.WEATHER_COLUMNS)
     return (detections.agg(F.count(F.lit(1)).alias("linhas"), F.lit(len(detections.columns)).alias("colunas"))
             .select(F.lit("focos").alias("parte"), "linhas", "colunas")
@@ -349,11 +349,10 @@ def dictionary_lookup(spark, sf_dir):
 
 
 @query
-def stage_join(spark, sf_dir):
+def stage_fan_out(spark, sf_dir):
     weather = _weather(spark, sf_dir).select(KEY, "temperatura")
     doubled = weather.unionByName(weather.filter("temperatura < 25"))
-    joined = enrich.stage_join(fx.detections(spark, sf_dir).select(KEY, "ordinal"), doubled)
-    return joined.groupBy(KEY).agg(F.count(F.lit(1)).alias("linhas"), F.count("temperatura").alias("com_clima"))
+    return enrich.fan_out(fx.detections(spark, sf_dir), doubled)
 
 
 @query
@@ -513,7 +512,7 @@ def critical_predicate(spark, sf_dir):
 def recency(spark, sf_dir):
     rows = fx.fact(spark, sf_dir)
     return rows.groupBy("data_foco").agg(
-        F.count_if(s.month_start_recency("data_foco", "2024-02-29")).alias("ultimo_mes"),
+        F.count_if(s.month_recency("data_foco", "2024-02-29")).alias("ultimo_mes"),
         F.count_if(s.day_recency("data_foco", fx.AS_OF, 20)).alias("ultimos_20"))
 
 
@@ -584,8 +583,8 @@ def slope_proxy(spark, sf_dir):
 def scalar_functions(spark, sf_dir):
     rows = fx.all_weather(fx.events(spark, sf_dir)).withColumn("valor", F.col("temperatura") * 1.37 - 35)
     return rows.select(
-        "seq", F.round(s.clip(F.round("valor", 1), -5.0, 12.0), 6).alias("limitado"),
-        F.round(s.ms_to_kmh("vento"), 6).alias("kmh"), s.zero_fill(F.col("seq") % 1000000).alias("preenchido"),
+        "seq", F.round(s.clip("round(valor, 1)", -5.0, 12.0), 6).alias("limitado"),
+        F.round(s.ms_to_kmh("vento"), 6).alias("kmh"), s.zero_fill("(seq % 1000000)").alias("preenchido"),
         F.trim(F.lower(F.concat(F.lit(" X"), F.col("seq").cast("string"), F.lit(" ")))).alias("texto"),
         F.date_sub(F.lit(fx.AS_OF).cast("date"), (F.col("seq") % 400).cast("int")).alias("dia"))
 

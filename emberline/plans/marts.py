@@ -24,7 +24,7 @@ def _rows(name: str) -> Column:
 
 def state_ranking(detections: DataFrame, as_of: str) -> DataFrame:
     """Detections and mean power per state over the last month, busiest first."""
-    recent = detections.filter(s.month_start_recency("data_foco", as_of))
+    recent = detections.filter(s.month_recency("data_foco", as_of))
     return (recent.groupBy("estado").agg(_rows("total_focos"), mean("frp").alias("frp_medio"))
             .orderBy(F.desc("total_focos"), "estado"))
 
@@ -67,30 +67,53 @@ def satellite_statistics(detections: DataFrame) -> DataFrame:
 
 
 def critical_rows(detections: DataFrame, weather: DataFrame, images: DataFrame) -> DataFrame:
-    """Strong detections whose image says fire, or that no image speaks for.
+    """Strong detections per image that says fire or nothing, or without image.
 
-    The power filter is on the fact alone and applied at its scan; the class
-    filter keeps unmatched rows and must follow the outer join.
+    A left join with the class filter after it, written as its two halves: the
+    inner half can be split when one detection has very many images (an outer
+    join cannot, on that side), and the other half needs distinct keys only.
     """
+    base = _strong(detections, weather)
+    matched = base.join(images.select(KEY, "classificacao").filter(_FIRE_OR_UNKNOWN), KEY)
+    unmatched = base.join(images.select(KEY).distinct(), KEY, "left_anti")
+    return matched.unionByName(unmatched.withColumn("classificacao", F.lit(None).cast("string")))
+
+
+_FIRE_OR_UNKNOWN = "classificacao = 'fogo' or classificacao is null"
+
+
+def _strong(detections: DataFrame, weather: DataFrame) -> DataFrame:
     strong = detections.filter("frp > 50").select(KEY, "estado", "bioma", "frp")
-    return (strong.join(weather.select(KEY, "umidade"), KEY)
-            .join(images.select(KEY, "classificacao"), KEY, "left")
-            .filter("classificacao = 'fogo' or classificacao is null"))
+    return strong.join(weather.select(KEY, "umidade"), KEY)
+
+
+def _with_image_count(detections: DataFrame, weather: DataFrame, images: DataFrame) -> DataFrame:
+    """One row per critical detection, with the number of its critical rows.
+
+    Images are counted per key before the join, so none of them is shuffled
+    beyond that count; a detection without images counts once.
+    """
+    per_key = images.groupBy(KEY).agg(F.count_if(F.expr(_FIRE_OR_UNKNOWN)).alias("_n"))
+    joined = _strong(detections, weather).join(per_key, KEY, "left")
+    return joined.withColumn("_n", F.coalesce("_n", F.lit(1))).filter("_n > 0")
+
+
+def _weighted_mean(name: str, places: int = 1) -> Column:
+    total = F.sum(F.col(name) * F.col("_n")).cast("double")
+    return F.round(total / F.sum(F.when(F.col(name).isNotNull(), F.col("_n"))), places)
 
 
 def critical_hotspots(detections: DataFrame, weather: DataFrame, images: DataFrame) -> DataFrame:
     """Critical rows by state and biome; one row per image is counted."""
-    return (critical_rows(detections, weather, images).groupBy("estado", "bioma").agg(
-        _rows("focos_criticos"), mean("frp").alias("frp_medio"), mean("umidade").alias("umidade_media"),
-        F.round(F.max("frp"), 1).alias("frp_max"))
+    return (_with_image_count(detections, weather, images).groupBy("estado", "bioma").agg(
+        F.sum("_n").alias("focos_criticos"), _weighted_mean("frp").alias("frp_medio"),
+        _weighted_mean("umidade").alias("umidade_media"), F.round(F.max("frp"), 1).alias("frp_max"))
         .orderBy(F.desc("focos_criticos"), "estado", "bioma"))
 
 
 def critical_hotspots_distinct(detections: DataFrame, weather: DataFrame, images: DataFrame) -> DataFrame:
     """The same counting each detection once, whatever its images."""
-    once = critical_rows(detections, weather, images).groupBy("estado", "bioma", KEY).agg(
-        F.first("frp").alias("frp"), F.first("umidade").alias("umidade"))
-    return (once.groupBy("estado", "bioma").agg(
+    return (_with_image_count(detections, weather, images).groupBy("estado", "bioma").agg(
         _rows("focos_criticos"), mean("frp").alias("frp_medio"), mean("umidade").alias("umidade_media"),
         F.max("frp").alias("frp_max"))
         .orderBy(F.desc("focos_criticos"), "estado", "bioma"))

@@ -347,7 +347,7 @@ boxes AS (
     "dictionary_lookup": _q(_FACT, f"""
         SELECT id_externo, {_ndvi('bioma')} AS ndvi, {_dryness('bioma')} AS fator FROM (
           SELECT id_externo, CASE WHEN frp > 100 THEN 'Outro' ELSE bioma END AS bioma FROM fact)"""),
-    "stage_join": _q(_RAW + _WEATHER, """
+    "stage_fan_out": _q(_RAW + _WEATHER, """
         SELECT r.id_externo, COUNT(*) AS linhas, COUNT(temperatura) AS com_clima FROM raw r LEFT JOIN (
           SELECT id_externo, temperatura FROM clima UNION ALL
           SELECT id_externo, temperatura FROM clima WHERE temperatura < 25) w USING (id_externo) GROUP BY r.id_externo"""),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberline import lookups, schemas
+from emberline.functions.scalars import literal
 from emberline.operators.clean import keep_first
 from emberline.schemas import KEY
 from emberline.sources.stage import read_stage, write_evidence, write_stage
@@ -18,35 +19,35 @@ from emberline.sources.stage import read_stage, write_evidence, write_stage
 def _number(df: DataFrame, name: str, kind: T.DataType) -> Column:
     if name not in df.columns:
         return F.lit(None).cast(kind).alias(name)
-    value = F.col(name)
+    value = name
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        value = F.when(~F.isnan(value), value)
-    return value.cast(kind).alias(name)
+        value = f"nullif({name}, double('NaN'))"
+    return F.expr(f"cast({value} as {kind.simpleString()}) as {name}")
 
 
 def _text(df: DataFrame, name: str, length: int, default: str | None = None) -> Column:
+    fallback = "cast(null as string)" if default is None else literal(default)
     if name not in df.columns:
-        return F.lit(default).cast("string").alias(name)
-    text = F.nullif(F.col(name).cast("string"), F.lit(""))
-    if default is not None:
-        text = F.coalesce(text, F.lit(default))
-    return F.substring(text, 1, length).alias(name)
+        return F.expr(f"{fallback} as {name}")
+    return F.expr(f"substring(coalesce(nullif(cast({name} as string), ''), {fallback}), 1, {length}) as {name}")
+
+
+def _day(treated: DataFrame) -> Column:
+    """The date as delivered, else as parsed."""
+    if "data" not in treated.columns:
+        return F.col("data_foco").cast("date")
+    parsed = "data_foco" if "data_foco" in treated.columns else "null"
+    return F.expr(f"cast(coalesce(nullif(cast(data as string), ''), cast({parsed} as string)) as date)")
 
 
 def bind_detections(treated: DataFrame) -> DataFrame:
     """Rows as stored: typed, defaults in place, text cut to column width."""
     kinds = {f.name: f.dataType for f in schemas.DETECTIONS}
-    if "data" in treated.columns:
-        raw_day = F.nullif(F.col("data").cast("string"), F.lit(""))
-        day = F.to_date(F.coalesce(raw_day, F.col("data_foco").cast("string"))
-                        if "data_foco" in treated.columns else raw_day)
-    else:
-        day = F.col("data_foco").cast("date")
     return treated.select(
         F.col(KEY).cast("string").alias(KEY),
         _number(treated, "latitude", kinds["latitude"]),
         _number(treated, "longitude", kinds["longitude"]),
-        day.alias("data_foco"),
+        _day(treated).alias("data_foco"),
         _text(treated, "satelite", 20),
         _number(treated, "confianca", kinds["confianca"]),
         _number(treated, "brilho", kinds["brilho"]),
@@ -56,7 +57,7 @@ def bind_detections(treated: DataFrame) -> DataFrame:
     )
 
 
-def bind_weather(treated: DataFrame) -> DataFrame:
+def bind_weather(treated: DataFrame, *extra: str) -> DataFrame:
     kinds = {f.name: f.dataType for f in schemas.WEATHER}
     dry = (F.coalesce(F.col("estacao_seca").cast("int"), F.lit(0))
            if "estacao_seca" in treated.columns else F.lit(0))
@@ -64,6 +65,7 @@ def bind_weather(treated: DataFrame) -> DataFrame:
         F.col(KEY).cast("string").alias(KEY),
         *[_number(treated, c, kinds[c]) for c in schemas.WEATHER_COLUMNS],
         dry.alias("estacao_seca"),
+        *extra,
     )
 
 
@@ -79,6 +81,15 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str = KEY) -> Data
     return batch.join(target.select(key), key, "left_anti")
 
 
+# The weather table on disk also carries the date, to find a batch's rows by.
+_STORED_WEATHER = T.StructType([*schemas.WEATHER.fields, schemas.DETECTIONS["data_foco"]])
+
+
+def _bind_dated_weather(treated: DataFrame) -> DataFrame:
+    dated = treated.withColumn("_day", _day(treated))
+    return bind_weather(dated, "_day").withColumnRenamed("_day", "data_foco")
+
+
 @dataclass
 class LoadResult:
     rows: int
@@ -112,7 +123,7 @@ class Warehouse:
         return self._or_empty("focos_incendio", schemas.DETECTIONS)
 
     def weather(self) -> DataFrame:
-        return self._or_empty("clima_associado", schemas.WEATHER)
+        return self._or_empty("clima_associado", _STORED_WEATHER).select(*schemas.WEATHER.fieldNames())
 
     def images(self) -> DataFrame:
         return self._or_empty("imagens_satelite_metadata", schemas.IMAGES)
@@ -128,21 +139,22 @@ class Warehouse:
         batch's date span can hold a match; with ``dated_keys=False`` (keys of
         another form) the whole target is compared.
         """
-        batch = bind_detections(keep_first(treated, KEY, _arrival(treated)))
-        target = self.read("focos_incendio", schemas.DETECTIONS)
+        self._merge("focos_incendio", schemas.DETECTIONS, bind_detections, treated, dated_keys)
+
+    def merge_weather(self, treated: DataFrame, dated_keys: bool = True) -> None:
+        """Append unseen weather rows, filed under their detection's date."""
+        self._merge("clima_associado", _STORED_WEATHER, _bind_dated_weather, treated, dated_keys)
+
+    def _merge(self, table: str, schema: T.StructType, bind, treated: DataFrame, dated_keys: bool) -> None:
+        batch = bind(keep_first(treated, KEY, _arrival(treated)))
+        target = self.read(table, schema)
         if target is not None and dated_keys:
-            days = bind_detections(treated).select("data_foco")
-            first, last = days.agg(F.min("data_foco"), F.max("data_foco")).first()
+            first, last = bind(treated).agg(F.min("data_foco"), F.max("data_foco")).first()
             target = target.filter(F.col("data_foco").between(F.lit(first), F.lit(last)))
         fresh = new_rows(batch, target)
         # AQE evens the write out: small dates together, a heavy date in parts
         (fresh.hint("rebalance", "data_foco").write.mode("append")
-         .partitionBy("data_foco").parquet(self.path("focos_incendio")))
-
-    def merge_weather(self, treated: DataFrame) -> None:
-        batch = bind_weather(keep_first(treated, KEY, _arrival(treated)))
-        fresh = new_rows(batch, self.read("clima_associado", schemas.WEATHER))
-        fresh.hint("rebalance").write.mode("append").parquet(self.path("clima_associado"))
+         .partitionBy("data_foco").parquet(self.path(table)))
 
     def append_images(self, images: DataFrame) -> None:
         images.select(*[F.col(f.name).cast(f.dataType) for f in schemas.IMAGES]).write.mode("append").parquet(
@@ -152,7 +164,7 @@ class Warehouse:
         """Both merges, off one staged copy so that the treatment runs once."""
         treated = read_stage(self.spark, write_stage(treated, self.path("_stage")))
         self.merge_detections(treated, dated_keys)
-        self.merge_weather(treated)
+        self.merge_weather(treated, dated_keys)
 
     def load_or_quarantine(self, treated: DataFrame, quarantine: str, dated_keys: bool = True) -> LoadResult:
         """Load; on an error keep the batch as CSV evidence and report it."""

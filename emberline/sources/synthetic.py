@@ -16,8 +16,8 @@ from emberline.operators.order_stats import count_values, kth_values
 def synthetic_detections(keys: DataFrame, as_of: str, key: str = "id", seed: int = 42) -> DataFrame:
     """One detection per (unique, numeric) key, e.g. of ``spark.range(n)``."""
     day = F.date_sub(F.lit(as_of).cast("date"), r.randint(key, "day", 0, 29, seed))
-    clock = F.concat(s.zero_fill(r.randint(key, "hour", 0, 23, seed), 2),
-                     s.zero_fill(r.randint(key, "minute", 0, 59, seed), 2))
+    clock = F.concat(F.lpad(r.randint(key, "hour", 0, 23, seed).cast("string"), 2, "0"),
+                     F.lpad(r.randint(key, "minute", 0, 59, seed).cast("string"), 2, "0"))
     return keys.select(
         F.concat(F.lit("SYN"), s.zero_fill(key, 6)).alias("id_externo"),
         F.round(r.uniform(key, "lat", -33, 5, seed), 4).alias("latitude"),

@@ -61,6 +61,6 @@ def parse_single(landed: DataFrame) -> DataFrame:
         "id_externo",
         F.col("r.main.temp").alias("temperatura"),
         F.col("r.main.humidity").alias("umidade"),
-        s.ms_to_kmh(F.coalesce("r.wind.speed", F.lit(0.0))).alias("vento"),
+        s.ms_to_kmh("coalesce(r.wind.speed, 0.0D)").alias("vento"),
         F.coalesce(F.col("r.rain.1h"), F.lit(0.0)).alias("precipitacao"),
     )

@@ -30,10 +30,14 @@ def _cell(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return (0, "")
     if isinstance(value, (int, float)):
-        return (1, float(value) + 0.0)
+        # repr tells -0.0 from 0.0
+        return (1, float(value), repr(value))
     return (2, str(value))
 
 
+_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def _sorted(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], sorted(tuple(_cell(row[i]) for i in order) for row in rows)
@@ -45,6 +49,10 @@ def differences(spark_df, connection, sql: str) -> str | None:
     expected_columns, expected = _sorted([d[0] for d in result.description], result.fetchall())
     if columns != expected_columns:
         return f"columns {columns} instead of {expected_columns}"
+    kinds = {d[0]: str(d[1]) for d in connection.execute(f"DESCRIBE {sql}").fetchall()}
+    for name, kind in spark_df.dtypes:
+        if _TYPES.get(kind) != kinds[name]:
+            return f"{name} is {kind} in Spark and {kinds[name]} in SQL"
     if len(rows) != len(expected):
         return f"{len(rows)} rows instead of {len(expected)}"
     wrong = [(a, b) for a, b in zip(rows, expected) if a != b]
