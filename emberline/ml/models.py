@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from emberline.ml.evaluate import classification_metrics, leaderboard
 from emberline.ml.prep import RiskPrep
 from emberline.schemas import CATEGORICAL, CONTINUOUS, FLAGS, LABEL
-from emberline.session import shared_folder
+from emberline.session import shared_folder, spread
 
 FOREST, BOOSTING, NETWORK = "Random Forest", "Gradient Boosting", "Rede Neural (MLP)"
 
@@ -103,18 +103,23 @@ def slug(name: str) -> str:
 
 def compare(train: DataFrame, test: DataFrame, settings: Settings = Settings(),
             names: tuple[str, ...] = (FOREST, BOOSTING, NETWORK)) -> Comparison:
-    """Fit each technique on one shared preparation and rank them by F1."""
+    """Fit each technique on one shared preparation and rank them by F1.
+
+    Every pass of every fit reads ``train``: hand in a stored table.
+    """
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     prepared = preparation().fit(train)
     inputs = len(feature_names(prepared))
-    ready = prepared.transform(train).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
+    ready = spread(prepared.transform(train).select("features", LABEL)).persist(StorageLevel.MEMORY_AND_DISK)
     held_out = prepared.transform(test).select("features", LABEL).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models, rows = {}, []
         for position, name in enumerate(names):
             models[name] = fit_classifier(name, ready, inputs, settings)
-            scored = positive_probability(models[name].transform(held_out))
+            scored = positive_probability(models[name].transform(held_out)).select(
+                LABEL, "prediction", "probabilidade").persist(StorageLevel.MEMORY_AND_DISK)
             row = classification_metrics(scored, LABEL, "prediction", "probabilidade").first()
+            scored.unpersist()
             rows.append((name, position, *row))
     finally:
         for cached in (ready, held_out, train):

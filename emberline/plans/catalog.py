@@ -22,7 +22,7 @@ from emberline.plans import export, marts
 from emberline.plans.warehouse import (Warehouse, bind_detections, bind_weather, constraint_report, new_rows,
                                        table_counts)
 from emberline.schemas import KEY, LABEL
-from emberline.session import scratch_path, ship_package
+from emberline.session import scratch_path, ship_package, spread
 from emberline.sources import detections as sd
 from emberline.sources import stage, synthetic
 from emberline.sources import weather as sw
@@ -746,7 +746,7 @@ def _prepared(spark, sf_dir):
 def _fitted(spark, sf_dir, name, settings=SMALL):
     fitted, train, test = _prepared(spark, sf_dir)
     names = models.feature_names(fitted)
-    ready = train.select("features", LABEL).persist()
+    ready = spread(train.select("features", LABEL)).persist()
     try:
         model = models.fit_classifier(name, ready, len(names), settings)
     finally:
@@ -756,7 +756,8 @@ def _fitted(spark, sf_dir, name, settings=SMALL):
 
 def _model_metrics(spark, sf_dir, name):
     _, model, _, _, test = _fitted(spark, sf_dir, name)
-    scored = models.positive_probability(model.transform(test))
+    scored = models.positive_probability(model.transform(test)).select(LABEL, "prediction", "probabilidade")
+    scored = stage.read_stage(spark, stage.write_stage(scored, scratch_path(spark, "scored")))
     return evaluate.classification_metrics(scored, LABEL, "prediction", "probabilidade").withColumn(
         "modelo", F.lit(name))
 
@@ -811,7 +812,7 @@ def learning_curve_gbt(spark, sf_dir):
 def learning_curve_mlp(spark, sf_dir):
     fitted, train, test = _prepared(spark, sf_dir)
     inputs = len(models.feature_names(fitted))
-    ready = train.select("features", LABEL).persist()
+    ready = spread(train.select("features", LABEL)).persist()
     try:
         return curves.network_curve(ready, test, inputs, epochs=5)
     finally:

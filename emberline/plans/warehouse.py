@@ -120,7 +120,7 @@ class Warehouse:
             raise
 
     def detections(self) -> DataFrame:
-        return self._or_empty("focos_incendio", schemas.DETECTIONS)
+        return self._or_empty("focos_incendio", schemas.DETECTIONS).select(*schemas.DETECTIONS.fieldNames())
 
     def weather(self) -> DataFrame:
         return self._or_empty("clima_associado", _STORED_WEATHER).select(*schemas.WEATHER.fieldNames())

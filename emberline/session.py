@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "emberline", cores: str = "*", **conf: str) -> SparkSession:
@@ -65,3 +65,9 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
     spark.sparkContext.addPyFile(archive)
     _shipped.add(application)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Enough partitions for all cores, for work heavy per row rather than per byte."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
