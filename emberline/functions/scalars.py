@@ -59,10 +59,13 @@ def natural_key(latitude: str, longitude: str, day: str, time: str) -> Column:
 
 
 def confidence_percent(name: str) -> Column:
-    """Numeric text as is, letter codes by table, anything else NULL."""
+    """Letter codes by table, numeric text as is, anything else NULL.
+
+    Codes come first: trying to read a letter as a number is slow.
+    """
     codes = " ".join(f"when {literal(code)} then {literal(percent)}"
                      for code, percent in lookups.CONFIDENCE_CODES.items())
-    return F.expr(f"coalesce({_text_number(name)}, case lower(trim(cast({name} as string))) {codes} end)")
+    return F.expr(f"case lower(trim(cast({name} as string))) {codes} else {_text_number(name)} end")
 
 
 def confident(name: str, minimum: float = lookups.MIN_CONFIDENCE) -> Column:

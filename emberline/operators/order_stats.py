@@ -20,29 +20,43 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DIRECT = 50_000
+from emberline.functions.scalars import literal
+
+DIRECT = 100_000
 ACCURACY = 10_000
 
 
 @dataclass
-class _Search:
-    """The ``rank``-th smallest (0-based) among values of ``name`` inside (low, high)."""
+class _Interval:
+    """Values of a column strictly inside (low, high), and the ranks sought there.
+
+    ``targets`` maps each rank in the whole column to the rank in the interval.
+    """
 
     name: str
-    rank: int
-    remaining: int
+    size: int
+    targets: dict[int, int]
     low: float | None = None
     high: float | None = None
-    answer: float | None = None
 
-    def inside(self) -> Column:
-        value = F.col(self.name)
-        condition = value.isNotNull()
+    def inside(self) -> str:
+        parts = [f"{self.name} is not null"]
         if self.low is not None:
-            condition &= value > F.lit(self.low)
+            parts.append(f"{self.name} > {literal(self.low)}")
         if self.high is not None:
-            condition &= value < F.lit(self.high)
-        return condition
+            parts.append(f"{self.name} < {literal(self.high)}")
+        return " and ".join(parts)
+
+    def clusters(self, margin: float) -> list[list[int]]:
+        """Ranks close enough for one bracket, in order."""
+        groups: list[list[int]] = []
+        for rank in sorted(self.targets):
+            place = self.targets[rank] / self.size
+            if groups and place - self.targets[groups[-1][-1]] / self.size <= margin:
+                groups[-1].append(rank)
+            else:
+                groups.append([rank])
+        return groups
 
 
 @contextmanager
@@ -71,17 +85,18 @@ def kth_values(df: DataFrame, values: Mapping[str, Column], ranks: Mapping[str,
 
 def _search(table: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int],
             direct: int = DIRECT, accuracy: int = ACCURACY) -> dict[tuple[str, int], float]:
-    found = {}
     for name, wanted in ranks.items():
         for rank in wanted:
             if not 0 <= rank < counts[name]:
                 raise IndexError(f"rank {rank} outside the {counts[name]} values of {name}")
-            found[name, rank] = _Search(name, rank, counts[name])
-    searches = list(found.values())
-    while any(search.answer is None and search.remaining > direct for search in searches):
-        _narrow(table, [x for x in searches if x.answer is None and x.remaining > direct], accuracy)
-    _pick(table, [x for x in searches if x.answer is None])
-    return {key: search.answer for key, search in found.items()}
+    found: dict[tuple[str, int], float] = {}
+    intervals = [_Interval(name, counts[name], {rank: rank for rank in wanted})
+                 for name, wanted in ranks.items() if wanted]
+    while large := [x for x in intervals if x.size > direct]:
+        small = [x for x in intervals if x.size <= direct]
+        intervals = small + _narrow(table, large, accuracy, found)
+    _pick(table, intervals, found)
+    return found
 
 
 def count_values(df: DataFrame, values: Mapping[str, Column]) -> dict[str, int]:
@@ -89,62 +104,69 @@ def count_values(df: DataFrame, values: Mapping[str, Column]) -> dict[str, int]:
     return row.asDict()
 
 
-def _narrow(table: DataFrame, searches: list[_Search], accuracy: int) -> None:
+def _narrow(table: DataFrame, intervals: list[_Interval], accuracy: int,
+            found: dict[tuple[str, int], float]) -> list[_Interval]:
+    """One round: bracket the ranks of every interval and count around the brackets."""
     margin = 2.0 / accuracy
-    sketches = []
-    for i, search in enumerate(searches):
-        share = (search.rank + 0.5) / search.remaining
-        around = F.array(F.lit(max(share - margin, 0.0)), F.lit(min(share + margin, 1.0)))
-        sketches.append(F.percentile_approx(F.when(search.inside(), F.col(search.name)),
-                                            around, accuracy).alias(f"q{i}"))
-    brackets = table.agg(*sketches).first()
-    counts = []
-    for i, search in enumerate(searches):
-        low, high = brackets[i]
-        value = F.col(search.name)
-        inside = search.inside()
-        counts += [
-            F.count_if(inside & (value < F.lit(low))).alias(f"below{i}"),
-            F.count_if(inside & (value == F.lit(low))).alias(f"low{i}"),
-            F.count_if(inside & (value > F.lit(low)) & (value < F.lit(high))).alias(f"between{i}"),
-            F.count_if(inside & (value == F.lit(high))).alias(f"high{i}"),
-        ]
+    sketches, plans = [], []
+    for i, interval in enumerate(intervals):
+        clusters = interval.clusters(margin)
+        shares = []
+        for cluster in clusters:
+            first, last = (interval.targets[cluster[end]] for end in (0, -1))
+            shares += [max((first + 0.5) / interval.size - margin, 0.0),
+                       min((last + 0.5) / interval.size + margin, 1.0)]
+        listed = ", ".join(literal(share) for share in shares)
+        sketches.append(F.expr(f"percentile_approx(if({interval.inside()}, {interval.name}, null), "
+                               f"array({listed}), {accuracy}) as q{i}"))
+        plans.append(clusters)
+    bounds = table.agg(*sketches).first()
+
+    counts, brackets = [], []
+    for i, (interval, clusters) in enumerate(zip(intervals, plans)):
+        for j, cluster in enumerate(clusters):
+            low, high = bounds[i][2 * j], bounds[i][2 * j + 1]
+            brackets.append((interval, cluster, low, high))
+            name, at = interval.name, f"{i}_{j}"
+            for part, condition in (("below", f"{name} < {literal(low)}"), ("low", f"{name} = {literal(low)}"),
+                                    ("between", f"{name} > {literal(low)} and {name} < {literal(high)}"),
+                                    ("high", f"{name} = {literal(high)} and {name} > {literal(low)}")):
+                counts.append(F.expr(f"count_if({interval.inside()} and {condition}) as {part}{at}"))
     row = table.agg(*counts).first()
-    for i, search in enumerate(searches):
-        low, high = brackets[i]
-        below, at_low, between, at_high = (row[f"{part}{i}"] for part in ("below", "low", "between", "high"))
-        if search.rank < below:
-            search.high, search.remaining = low, below
-        elif search.rank < below + at_low:
-            search.answer = low
-        elif search.rank < below + at_low + between:
-            search.rank -= below + at_low
-            search.low, search.high, search.remaining = low, high, between
-        elif search.rank < below + at_low + between + at_high:
-            search.answer = high
-        else:
-            passed = below + at_low + between + at_high
-            search.rank -= passed
-            search.low, search.remaining = high, search.remaining - passed
-
-
-def _pick(table: DataFrame, searches: list[_Search]) -> None:
-    """Sort the few values left (at most ``direct`` per search) and take each rank."""
-    if not searches:
+
+    narrowed: list[_Interval] = []
+    for k, (interval, cluster, low, high) in enumerate(brackets):
+        below, at_low, between, at_high = row[4 * k:4 * k + 4]
+        above = interval.size - below - at_low - between - at_high
+        parts = [(below, interval.low, low), (at_low, low, None), (between, low, high), (at_high, high, None),
+                 (above, high, interval.high)]
+        inner: dict[int, _Interval] = {}
+        for rank in cluster:
+            place = interval.targets[rank]
+            for number, (size, left, right) in enumerate(parts):
+                if place < size:
+                    break
+                place -= size
+            if number in (1, 3):
+                found[interval.name, rank] = left
+            else:
+                piece = inner.setdefault(number, _Interval(interval.name, size, {}, left, right))
+                piece.targets[rank] = place
+        narrowed += inner.values()
+    return narrowed
+
+
+def _pick(table: DataFrame, intervals: list[_Interval], found: dict[tuple[str, int], float]) -> None:
+    """Sort the few values left (at most ``direct`` per interval) and take each rank."""
+    if not intervals:
         return
-    brackets: dict[tuple, list[_Search]] = {}
-    for search in searches:
-        brackets.setdefault((search.name, search.low, search.high), []).append(search)
-    columns = list(enumerate(brackets.values()))
-    left = table.agg(*[
-        F.sort_array(F.collect_list(F.when(group[0].inside(), F.col(group[0].name)))).alias(f"v{i}")
-        for i, group in columns])
-    row = left.select(*[
-        F.array(*[F.get(f"v{i}", F.lit(search.rank)) for search in group]).alias(f"p{i}")
-        for i, group in columns]).first()
-    for i, group in columns:
-        for search, value in zip(group, row[i]):
-            search.answer = value
+    left = table.agg(*[F.expr(f"sort_array(collect_list(if({x.inside()}, {x.name}, null))) as v{i}")
+                       for i, x in enumerate(intervals)])
+    row = left.select(*[F.expr(f"array({', '.join(f'get(v{i}, {place})' for place in x.targets.values())}) as p{i}")
+                        for i, x in enumerate(intervals)]).first()
+    for i, interval in enumerate(intervals):
+        for rank, value in zip(interval.targets, row[i]):
+            found[interval.name, rank] = value
 
 
 def quantiles(df: DataFrame, values: Mapping[str, Column] | Sequence[str], shares: Sequence[float],
