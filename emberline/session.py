@@ -68,6 +68,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Enough partitions for all cores, for work heavy per row rather than per byte."""
+    """Enough partitions for all cores, for work heavy per row rather than per byte.
+
+    Asking for the partition count runs the shuffles below: use it on stored tables.
+    """
     cores = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
