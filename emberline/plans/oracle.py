@@ -338,11 +338,13 @@ ORACLE: dict[str, str] = {
           ON r.latitude BETWEEN s.a AND s.b AND r.longitude BETWEEN s.c AND s.d GROUP BY r.ordinal"""),
     "geo_box_table": _q(_RAW + """,
 boxes AS (
-  SELECT c_name AS n, c_custkey AS p, -34 + CAST(c_custkey * 37 % 400 AS DOUBLE) / 10 AS a,
-         -74 + CAST(c_custkey * 53 % 400 AS DOUBLE) / 10 AS c,
-         a + (c_custkey % 7 + 1) * 0.3::DOUBLE AS b, c + (c_custkey % 5 + 1) * 0.4::DOUBLE AS d FROM customer)""", """
+  -- decimals: a point on an edge must compare equal to it
+  SELECT c_name AS n, c_custkey AS p, -34 + CAST(c_custkey * 37 % 400 AS DECIMAL(9,1)) * 0.1 AS a,
+         -74 + CAST(c_custkey * 53 % 400 AS DECIMAL(9,1)) * 0.1 AS c,
+         a + CAST(c_custkey % 7 + 1 AS DECIMAL(9,1)) * 0.3 AS b,
+         c + CAST(c_custkey % 5 + 1 AS DECIMAL(9,1)) * 0.4 AS d FROM customer)""", """
         SELECT r.ordinal, COALESCE(arg_min(x.n, x.p), 'nenhum') AS lugar FROM raw r LEFT JOIN boxes x
-          ON CAST(r.latitude AS DOUBLE) BETWEEN x.a AND x.b AND CAST(r.longitude AS DOUBLE) BETWEEN x.c AND x.d
+          ON r.latitude BETWEEN x.a AND x.b AND r.longitude BETWEEN x.c AND x.d
         GROUP BY r.ordinal"""),
     "dictionary_lookup": _q(_FACT, f"""
         SELECT id_externo, {_ndvi('bioma')} AS ndvi, {_dryness('bioma')} AS fator FROM (
