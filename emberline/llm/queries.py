@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import mixing, packing, secrets
+from emberline.llm import digest, mixing, packing, permutation, secrets
 from emberline.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,13 @@ def op4_mixing(spark, sf_dir):
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@query
+def op5_permutation_index(spark, sf_dir):
+    return permutation.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_digests(spark, sf_dir):
+    return digest.fingerprints(table(spark, sf_dir, "documents"))
