@@ -8,14 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import mixing, packing, secrets
+from emberline.llm import mixing, packing, secret_scan, toxicity
 from emberline.llm.queries import VOCABULARY
 from emberline.session import scratch_path, ship_package
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents above the model's limit go. """
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.clean(docs, model)
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets give way to a mark; every document stays."""
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,6 +35,7 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("secrets", redact_secrets),
     ("mixing", mix_sources),
     ("packing", pack_windows),

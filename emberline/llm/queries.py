@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import digest, mixing, packing, permutation, secrets
+from emberline.llm import digest, mixing, packing, permutation, secret_scan, toxicity
 from emberline.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,11 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_secret_scan(spark, sf_dir):
-    found = secrets.scan(table(spark, sf_dir, "documents"))
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
-ORACLE["op1_secret_scan"] = secrets.scan_sql()
+ORACLE["op1_secret_scan"] = secret_scan.scan_sql()
 
 
 @query
@@ -57,3 +57,9 @@ def op5_permutation_index(spark, sf_dir):
 @query
 def op8_digests(spark, sf_dir):
     return digest.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))

@@ -6,7 +6,7 @@ handled as UTF-8 bytes, so all positions here are byte positions.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,8 +22,10 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _RADIX = 0x9E3779B97F4A7C15 | 1
 _PLACE = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_WORD = np.ones(256, bool)
+_WORD[[9, 10, 11, 12, 13, 32]] = False
+#: ASCII letters and digits and all of what is beyond ASCII.
+PLAIN = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -64,12 +66,26 @@ class Chunk:
         firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         return mix(np.add.reduceat(terms, firsts) + lengths.astype(np.uint64))
 
+    def prefixes(self, sizes: Sequence[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per size: the words longer than it, and the hash of so many first bytes."""
+        lengths, total, power = self.ends - self.starts, np.zeros(len(self.starts), np.uint64), np.uint64(1)
+        for place in range(max(sizes, default=0)):
+            long = lengths > place
+            total[long] += _BYTE[self.data[self.starts[long] + place]] * power
+            power = np.uint64(int(power) * _RADIX & 0xFFFFFFFFFFFFFFFF)
+            if place + 1 in sizes:
+                words = np.flatnonzero(lengths > place + 1)
+                yield words, mix(total[words] + np.uint64(1 << 32 | place))
+
     def rows_of_words(self) -> np.ndarray:
         return np.repeat(np.arange(self.last - self.first), np.diff(self.offsets))
 
 
-def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Cut a string column into runs of rows of about ``limit`` bytes; null is an empty text."""
+def chunks(column: pa.Array, limit: int = CHUNK_BYTES, inside: np.ndarray = _WORD) -> Iterator[Chunk]:
+    """Cut a string column into runs of rows of about ``limit`` bytes; null is an empty text.
+
+    ``inside`` tells which bytes words are made of.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.fill_null("")
@@ -81,12 +97,12 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(where, where[first] + limit, "right")) - 1)
-        yield _cut(first, last, whole[where[first]:where[last]], where[first:last + 1] - where[first])
+        yield _cut(first, last, whole[where[first]:where[last]], where[first:last + 1] - where[first], inside)
         first = last
 
 
-def _cut(first: int, last: int, data: np.ndarray, bounds: np.ndarray) -> Chunk:
-    inside = ~_BLANK[data]
+def _cut(first: int, last: int, data: np.ndarray, bounds: np.ndarray, kinds: np.ndarray) -> Chunk:
+    inside = kinds[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True
     before = np.empty(len(data), bool)

@@ -3,7 +3,7 @@ import re
 from collections import Counter
 
 from compare import differences, open_duckdb
-from emberline.llm import secrets
+from emberline.llm import secret_scan as secrets
 from emberline.llm.queries import ORACLE, QUERIES
 
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
