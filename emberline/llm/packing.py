@@ -14,53 +14,119 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from emberline.llm.text import Chunk, chunks
+
 WINDOW = 2048
 OPEN_WINDOWS = 2048
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
-_CACHED_WORDS = 300_000
-_SHORT = 64
+_KNOWN_WORDS = 700_000
+_JOINED = 1000
+_LETTER = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
+_OTHER_ASCII = np.array([b < 128 and not _LETTER[b] and b not in b" \t\n\r\x0b\x0c" for b in range(256)])
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+#: Second bytes after 0xC3 that are letters (all but the signs of multiplication and division).
+_LATIN = np.array([128 <= b < 192 and b not in (0x97, 0xB7) for b in range(256)])
 
 
-class _Words(dict):
-    """Ids by whitespace-free stretch of text; the vocabulary never joins two of them."""
+def simplified(chunk: Chunk) -> Chunk:
+    """The same chunk in fewer different stretches, without changing their ids.
+
+    The vocabulary starts anew between a letter and an ASCII character that is none, and it ignores case, for
+    which ASCII needs no context.
+    """
+    data = chunk.data
+    letter = _LETTER[data]
+    letter[1:] |= (data[:-1] == 0xC3) & _LATIN[data[1:]]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = letter[:-1] & _OTHER_ASCII[data[1:]]
+    cut[chunk.bounds[chunk.bounds < len(data)]] = False
+    cuts = np.flatnonzero(cut)
+    starts, ends = np.sort(np.concatenate([chunk.starts, cuts])), np.sort(np.concatenate([chunk.ends, cuts]))
+    wide = np.concatenate([[0], np.cumsum(data >= 128)])
+    plain = wide[starts] == wide[ends]
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[starts[plain]] += 1
+    edges[ends[plain]] -= 1
+    lower = np.where(np.cumsum(edges[:-1], dtype=np.int8).view(bool), _LOWER[data], data)
+    return Chunk(chunk.first, chunk.last, lower, chunk.bounds, starts, ends, np.searchsorted(starts, chunk.bounds))
+
+
+class Vocabulary:
+    """Ids by whitespace-free stretch of text; the vocabulary never joins two of them.
+
+    Each distinct stretch is tokenized once while it is known, many at a time with a special token
+    between them.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_str(definition)
-
-    def __missing__(self, word: bytes) -> list[int]:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        if len(word) <= _SHORT:
-            if len(self) >= _CACHED_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
-
-    def ids(self, text: str, end: int) -> np.ndarray:
-        # bytes.split cuts at space and 0x09-0x0D only, all of which the vocabulary drops
-        found = chain.from_iterable(map(self.__getitem__, text.encode().split()))
-        return np.fromiter(chain(found, (end,)), np.uint32)
-
-
-_loaded: dict[int, _Words] = {}
-
-
-def _words(definition: str) -> _Words:
+        special = [(n, t.content) for n, t in self.tokenizer.get_added_tokens_decoder().items() if t.special]
+        self.mark_id, self.mark = special[0] if special else (None, "")
+        self.specials = [text.encode() for _, text in special]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.pool, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _learn(self, words: list[bytes], special: bool) -> None:
+        special = special or self.mark_id is None
+        alone = {w for w in words if self.mark_id is None or any(s in w for s in self.specials)} if special else set()
+        joined = [w for w in words if w not in alone] if alone else words
+        alone = list(alone)
+        texts = [self.mark.join(w.decode() for w in joined[i:i + _JOINED]) for i in range(0, len(joined), _JOINED)]
+        pool, sizes = [self.pool], [self.sizes]
+        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids = np.array(found.ids, np.uint32)
+            marks = np.flatnonzero(ids == self.mark_id)
+            sizes.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
+            pool.append(ids[ids != self.mark_id])
+        for found in self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False):
+            sizes.append(np.array([len(found.ids)]))
+            pool.append(np.array(found.ids, np.uint32))
+        self.known.update(zip(joined + alone, range(len(self.known), len(self.known) + len(words))))
+        self.pool, self.sizes = np.concatenate(pool), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def ids(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the chunk's rows, and where each row's begin (with the end)."""
+        raw = chunk.data.tobytes()
+        special = any(s in raw for s in self.specials)
+        if not special:
+            chunk = simplified(chunk)
+            raw = chunk.data.tobytes()
+        _, first, which = np.unique(chunk.hashes(), return_index=True, return_inverse=True)
+        words = [raw[s:e] for s, e in zip(chunk.starts[first].tolist(), chunk.ends[first].tolist())]
+        if len(self.known) > _KNOWN_WORDS:
+            self.forget()
+        new = [w for w in words if w not in self.known]
+        if new:
+            self._learn(new, special)
+        entry = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))[which]
+        sizes = self.sizes[entry]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.starts[entry] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.pool[at], np.concatenate([[0], ends])[chunk.offsets]
+
+
+_loaded: dict[int, Vocabulary] = {}
+
+
+def _vocabulary(definition: str) -> Vocabulary:
     key = zlib.crc32(definition.encode())
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = _Words(definition)
+        _loaded[key] = Vocabulary(definition)
     return _loaded[key]
 
 
@@ -181,21 +247,24 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 1, window: int = WINDOW,
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, levels, out = _words(definition.value), Levels(window), _Output(TaskContext.get().partitionId())
+        words, levels, out = _vocabulary(definition.value), Levels(window), _Output(TaskContext.get().partitionId())
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = words.ids(text.as_py() or "", end)
-                total, cut = len(ids), len(ids) - len(ids) % window
-                for start in range(0, cut, window):
-                    out.add([(doc, start, ids[start:start + window], total)])
-                if total > cut:
-                    filled = levels.place((doc, cut, ids[cut:].copy(), total))
-                    if filled:
-                        out.add(filled)
-                if len(levels) >= open_windows:
-                    for pieces in levels.settle():
-                        out.add(pieces)
-            yield out.batch()
+            docs = batch.column(0).to_pylist()
+            for chunk in chunks(batch.column(1)):
+                flat, bounds = words.ids(chunk)
+                for i, doc in enumerate(docs[chunk.first:chunk.last]):
+                    ids = np.append(flat[bounds[i]:bounds[i + 1]], np.uint32(end))
+                    total, cut = len(ids), len(ids) - len(ids) % window
+                    for start in range(0, cut, window):
+                        out.add([(doc, start, ids[start:start + window], total)])
+                    if total > cut:
+                        filled = levels.place((doc, cut, ids[cut:].copy(), total))
+                        if filled:
+                            out.add(filled)
+                    if len(levels) >= open_windows:
+                        for pieces in levels.settle():
+                            out.add(pieces)
+                yield out.batch()
         for pieces in levels.settle():
             out.add(pieces)
         yield out.batch()

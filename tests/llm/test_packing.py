@@ -2,12 +2,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from emberline.llm import packing
 from emberline.llm.queries import VOCABULARY
+from emberline.llm.text import chunks
 
 
 @pytest.fixture(scope="module")
@@ -61,9 +63,11 @@ def test_words_never_join(text):
     from tokenizers import Tokenizer
     if "t" not in _cache:
         _cache["t"] = Tokenizer.from_file(VOCABULARY)
-        _cache["w"] = packing._Words(open(VOCABULARY, encoding="utf-8").read())
-    expected = _cache["t"].encode(text, add_special_tokens=False).ids + [1]
-    assert _cache["w"].ids(text, 1).tolist() == expected
+        _cache["w"] = packing.Vocabulary(open(VOCABULARY, encoding="utf-8").read())
+    chunk, = chunks(pa.array([text, None, text]))
+    ids, bounds = _cache["w"].ids(chunk)
+    expected = _cache["t"].encode(text, add_special_tokens=False).ids
+    assert ids.tolist() == expected * 2 and bounds.tolist() == [0, len(expected), len(expected), 2 * len(expected)]
 
 
 _cache: dict = {}
