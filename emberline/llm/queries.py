@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import digest, mixing, packing, permutation, secret_scan, toxicity
+from emberline.llm import digest, jaccard, mixing, packing, permutation, secret_scan, toxicity
 from emberline.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op8_digests(spark, sf_dir):
 def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.severity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"))
