@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import digest, jaccard, mixing, packing, permutation, secret_scan, toxicity
+from emberline.llm import digest, jaccard, mixing, packing, permutation, secret_scan, substrings, toxicity
 from emberline.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,8 @@ def op6_toxicity(spark, sf_dir):
 @query
 def op2_jaccard_join(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_substring_dedup(spark, sf_dir):
+    return substrings.dedup(table(spark, sf_dir, "documents"))
