@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import mixing, packing, secret_scan, toxicity
+from emberline.llm import jaccard, mixing, packing, secret_scan, toxicity
 from emberline.llm.queries import VOCABULARY
 from emberline.session import scratch_path, ship_package
 
@@ -19,6 +19,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean(docs, model)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that link, directly or by others, the one with the least doc_id stays."""
+    return jaccard.keep_one(docs)
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets give way to a mark; every document stays."""
     return secret_scan.redact(docs)
@@ -36,6 +41,7 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("toxicity", drop_toxic),
+    ("near copies", drop_near_copies),
     ("secrets", redact_secrets),
     ("mixing", mix_sources),
     ("packing", pack_windows),
@@ -49,7 +55,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"stage-{name}")
+        path = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -31,13 +31,13 @@ LARGE = 5
 BLOCK_TOKENS = 1 << 21
 SHARD_KEYS = 4_000_000
 END = np.uint64(0x51ED270B7F5A1E37)
-_BLOCK = ("block bigint, doc_ids array<bigint>, held binary, sizes binary, words binary, tokens binary")
+BLOCK = ("block bigint, doc_ids array<bigint>, held binary, sizes binary, words binary, tokens binary")
 _ANSWER = "block bigint, shard bigint, first binary, second binary, large array<bigint>"
 
 
 # ------------------------------------------------------------------ blocks
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterator[pa.RecordBatch], lower: bool = True) -> Iterator[pa.RecordBatch]:
     """Rows of (block, documents, which are held out, tokens each, different words, tokens by place of their word)."""
     number = TaskContext.get().partitionId() << 32
     docs, held, sizes, hashes = [], [], [], []
@@ -55,14 +55,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                unique.tobytes(), which.astype(np.int32).tobytes()]
         kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
-                                          [f.split()[0] for f in _BLOCK.split(", ")])
+                                          [f.split()[0] for f in BLOCK.split(", ")])
 
     for batch in batches:
         for chunk in chunks(batch.column(1)):
             docs += batch.column(0)[chunk.first:chunk.last].to_pylist()
             held += batch.column(2)[chunk.first:chunk.last].to_pylist()
             sizes.append(np.diff(chunk.offsets))
-            hashes.append(chunk.hashes(lower=True))
+            hashes.append(chunk.hashes(lower))
             if sum(map(len, hashes)) + len(docs) >= BLOCK_TOKENS:
                 yield block()
                 number += 1
@@ -244,7 +244,7 @@ class _Corpus:
         self.spark = docs.sparkSession
         self.table, self.path = f"katz_blocks_{uuid.uuid4().hex}", scratch_path(self.spark, "katz")
         buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        (docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held")).mapInArrow(_blocks, _BLOCK)
+        (docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held")).mapInArrow(blocks, BLOCK)
          .write.bucketBy(buckets, "block").saveAsTable(self.table))
         self.blocks = self.spark.table(self.table)
         tokens = self.blocks.agg(F.sum(F.length("tokens")) / 4).first()[0] or 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import digest, jaccard, katz, mixing, packing, permutation, secret_scan, substrings, toxicity
+from emberline.llm import digest, jaccard, katz, mixing, packing, permutation, quality, secret_scan, substrings, toxicity
 from emberline.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,8 @@ def op9_substring_dedup(spark, sf_dir):
 @query
 def op3_katz_scores(spark, sf_dir):
     return katz.score(table(spark, sf_dir, "documents"), katz.one_in_seven())
+
+
+@query
+def op7_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
