@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberline import lookups
 
@@ -37,6 +38,11 @@ def text_to_number(name: str) -> Column:
     return F.expr(_text_number(name))
 
 
+def number_in(df: DataFrame, name: str) -> Column:
+    """The column of ``df`` as a number, by the rule for its type."""
+    return text_to_number(name) if df.schema[name].dataType == T.StringType() else to_number(name)
+
+
 def _zero_filled(value: str, width: int) -> str:
     text = f"cast({value} as string)"
     return f"if(length({text}) >= {width}, {text}, lpad({text}, {width}, '0'))"
@@ -127,6 +133,7 @@ def _risk(score: str, noise: Column | None) -> Column:
     return F.coalesce(1 / (1 + F.exp(-total)) > 0.5, F.lit(False)).cast("int")
 
 
+# The coefficients of both labels
 def observed_risk(noise: Column | None = None) -> Column:
     """Label from satellite readings and biome dryness."""
     dryness = _lookup("bioma", lookups.DRYNESS_BY_BIOME, lookups.DEFAULT_DRYNESS)

@@ -35,7 +35,7 @@ def fan_out(detections: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def coerce_weather(weather: DataFrame, columns: Sequence[str] = WEATHER_COLUMNS) -> DataFrame:
-    return weather.withColumns({c: s.to_number(c) for c in columns if c in weather.columns})
+    return weather.withColumns({c: s.number_in(weather, c) for c in columns if c in weather.columns})
 
 
 def join_weather(detections: DataFrame, weather: DataFrame,

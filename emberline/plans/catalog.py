@@ -19,6 +19,7 @@ from emberline.ml import evaluate, explain, prep, split
 from emberline.ml import curves, models, scoring
 from emberline.operators import boxes, clean, enrich, order_stats
 from emberline.plans import export, marts
+from emberline.plans.treatment import transform
 from emberline.plans.warehouse import (Warehouse, bind_detections, bind_weather, constraint_report, new_rows,
                                        table_counts)
 from emberline.schemas import KEY, LABEL
@@ -92,6 +93,22 @@ def daily_scan(spark, sf_dir):
         KEY, "data", "hora", "satelite", "brilho", "frp", s.confidence_percent("confianca").alias("confianca"))
 
 
+@query
+def daily_scan_mixed_headers(spark, sf_dir):
+    """Odd days come with another column order and another name for the brightness."""
+    landing = scratch_path(spark, "landing")
+    rows = _raw(spark, sf_dir).drop("seq", "ordinal").withColumns(
+        {"sensor": F.lit("VIIRS"), "date": F.col("acq_date")})
+    odd = F.dayofmonth(F.col("acq_date").cast("date")) % 2 == 1
+    other = rows.filter(odd).withColumnRenamed("bright_ti4", "brightness")
+    for part in (rows.filter(~odd), other.select(*reversed(other.columns))):
+        (part.write.mode("append").partitionBy("sensor", "date").option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(landing))
+    scanned = sd.scan_daily(spark, landing, "VIIRS", fx.AS_OF, days=12)
+    return sd.standardise(scanned).select(
+        KEY, "data", "hora", "satelite", "brilho", "frp", s.confidence_percent("confianca").alias("confianca"))
+
+
 @query
 def daily_concat(spark, sf_dir):
     raw = _raw(spark, sf_dir)
@@ -132,7 +149,7 @@ def landed_batches(source: DataFrame) -> DataFrame:
 
 @query
 def weather_batch_parse(spark, sf_dir):
-    return sw.parse_batches(landed_batches(fx.events(spark, sf_dir)))
+    return sw.parse_batches(landed_batches(fx.events(spark, sf_dir))).drop("ordinal")
 
 
 def landed_single(source: DataFrame) -> DataFrame:
@@ -147,7 +164,8 @@ def landed_single(source: DataFrame) -> DataFrame:
 
 @query
 def weather_single_parse(spark, sf_dir):
-    return sw.parse_single(landed_single(fx.events(spark, sf_dir))).withColumn("vento", F.round("vento", 6))
+    parsed = sw.parse_single(landed_single(fx.events(spark, sf_dir)))
+    return parsed.withColumn("vento", F.round("vento", 6)).drop("ordinal")
 
 
 @query
@@ -169,7 +187,7 @@ def dataset_source(spark, sf_dir):
     chosen = sd.first_with_rows([
         ("instantaneo", lambda: empty),
         ("arquivo", lambda: _model_table(spark, sf_dir)),
-        ("gerado", lambda: synthetic.synthetic_training(spark.range(10_000))),
+        ("gerado", lambda: synthetic.synthetic_dataset(spark.range(10_000))),
     ])
     return chosen.groupBy("fonte").agg(F.count(F.lit(1)).alias("linhas"))
 
@@ -245,8 +263,8 @@ def rename_canonical(spark, sf_dir):
 @query
 def numeric_coercion(spark, sf_dir):
     raw = _raw(spark, sf_dir).select("ordinal", "latitude", F.expr(
-        "case seq % 7 when 0 then 'abc' when 1 then 'nan' when 2 then '' else cast(frp as string) end").alias("v"))
-    return raw.select("ordinal", s.to_number("v").alias("valor"), F.round("latitude", 6).alias("latitude"))
+        "case seq % 7 when 0 then 'abc' when 1 then 'nan' when 2 then '' when 3 then '5d' else cast(frp as string) end").alias("v"))
+    return raw.select("ordinal", s.number_in(raw, "v").alias("valor"), F.round("latitude", 6).alias("latitude"))
 
 
 @query
@@ -363,7 +381,7 @@ def weather_join(spark, sf_dir):
 @query
 def climate_coercion(spark, sf_dir):
     text = _weather(spark, sf_dir).withColumns({
-        c: F.expr(f"case seq % 9 when 0 then 'x' when 1 then 'nan' else cast({c} as string) end")
+        c: F.expr(f"case seq % 9 when 0 then 'x' when 1 then 'nan' when 2 then '7f' else cast({c} as string) end")
         for c in schemas.WEATHER_COLUMNS})
     return enrich.coerce_weather(text).select(KEY, *schemas.WEATHER_COLUMNS)
 
@@ -426,6 +444,38 @@ def merge_weather(spark, sf_dir):
     return _loaded(spark, sf_dir).weather()
 
 
+@query
+def merge_moved_dates(spark, sf_dir):
+    """The same keys come again under other dates: natural ones, and ones without a date in them."""
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    rows = fx.treated(spark, sf_dir)
+    both = rows.unionByName(rows.filter("seq % 5 = 0").withColumn(KEY, F.format_string("SYN%06d", "seq")))
+    staged = stage.read_stage(spark, stage.write_stage(both.drop("data"), scratch_path(spark, "treated")))
+    for days in (0, 4, -3):
+        store.load(staged.withColumn("data_foco", F.date_add("data_foco", days)))
+    return store.detections().select(KEY, "data_foco", "frp")
+
+
+@query
+def pipeline_end_to_end(spark, sf_dir):
+    """Landed files and replies, treated, loaded twice and joined."""
+    landing = scratch_path(spark, "landing")
+    rows = _raw(spark, sf_dir).drop("seq").withColumns({"sensor": F.lit("VIIRS"), "date": F.col("acq_date")})
+    (rows.repartition("date").sortWithinPartitions("sensor", "date", "ordinal").drop("ordinal")
+     .write.partitionBy("sensor", "date").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(landing))
+    raw = sd.standardise(sd.scan_daily(spark, landing, "VIIRS", fx.AS_OF, days=40))
+    readings = sw.parse_batches(landed_batches(fx.events(spark, sf_dir)))
+    treated = transform(raw, readings)
+    store = Warehouse(spark, scratch_path(spark, "warehouse"))
+    for _ in range(2):
+        store.load(treated)
+    joined = store.detections().join(store.weather(), KEY)
+    return joined.groupBy("bioma").agg(
+        F.count(F.lit(1)).alias("focos"), F.sum("frp").alias("frp_total"), F.sum("temperatura").alias("temperatura_total"),
+        F.sum("umidade").alias("umidade_total"), F.sum("estacao_seca").alias("em_seca"))
+
+
 @query
 def merge_new_rows(spark, sf_dir):
     rows = fx.fact(spark, sf_dir)
@@ -452,10 +502,12 @@ def constraint_check(spark, sf_dir):
 @query
 def load_quarantine(spark, sf_dir):
     """A target that cannot be written: evidence is kept and the failure told."""
-    evidence = scratch_path(spark, "quarantine")
-    rows = fx.treated(spark, sf_dir).select(KEY, "frp")
+    evidence, landing = scratch_path(spark, "quarantine"), scratch_path(spark, "landing")
+    raw = _raw(spark, sf_dir).drop("seq", "ordinal").withColumns({"sensor": F.lit("V"), "date": F.col("acq_date")})
+    raw.write.partitionBy("sensor", "date").option("header", True).csv(landing)
+    rows = clean.clean_detections(sd.standardise(sd.scan_daily(spark, landing, "V", fx.AS_OF, days=40)))
     outcome = Warehouse(spark, "nowhere://unreachable").load_or_quarantine(rows, evidence)
-    kept = stage.read_evidence(spark, evidence, "id_externo string, frp double")
+    kept = spark.read.option("header", True).csv(evidence)
     return kept.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(outcome.status).alias("estado"), "linhas")
 
 
@@ -473,8 +525,7 @@ def q2_daily(spark, sf_dir):
 
 @query
 def q2_daily_filled(spark, sf_dir):
-    sparse = fx.fact(spark, sf_dir).filter("frp > 150")
-    return marts.daily_evolution_filled(sparse, fx.AS_OF)
+    return marts.daily_evolution_filled(fx.fact(spark, sf_dir), fx.AS_OF)
 
 
 @query
@@ -547,7 +598,7 @@ def global_quartiles(spark, sf_dir):
 
 @query
 def column_modes(spark, sf_dir):
-    rows = fx.fact(spark, sf_dir).filter("estado <> '??'")
+    rows = fx.fact(spark, sf_dir)
     modes = [(c, order_stats.most_frequent(rows, c)) for c in ("estado", "bioma", "satelite")]
     return spark.createDataFrame(modes, "coluna string, moda string")
 

@@ -130,7 +130,7 @@ def column_means(df: DataFrame, columns: Sequence[str] = ("frp", "temperatura",
                  flag: str = "estacao_seca", places: int = 2) -> DataFrame:
     """Means over what reads as a number, and the share of flagged rows, as one row."""
     aggregates = [_rows("total")]
-    aggregates += [F.round(F.avg(s.to_number(c)), places).alias(f"media_{c}") for c in columns if c in df.columns]
+    aggregates += [F.round(F.avg(s.number_in(df, c)), places).alias(f"media_{c}") for c in columns if c in df.columns]
     if flag in df.columns:
         aggregates.append(F.round(F.avg(F.col(flag).cast("double")) * 100, 1).alias(f"pct_{flag}"))
     return df.agg(*aggregates)

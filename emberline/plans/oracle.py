@@ -234,7 +234,7 @@ def _quartiles() -> str:
 
 
 def _modes() -> str:
-    parts = [f"(SELECT '{c}' AS coluna, {c} AS moda FROM fact WHERE estado <> '??' GROUP BY {c} "
+    parts = [f"(SELECT '{c}' AS coluna, {c} AS moda FROM fact GROUP BY {c} "
              f"ORDER BY COUNT(*) DESC, {c} LIMIT 1)" for c in ("estado", "bioma", "satelite")]
     return " UNION ALL ".join(parts)
 
@@ -253,6 +253,10 @@ ORACLE: dict[str, str] = {
         SELECT id_externo, CAST(data_foco AS VARCHAR) AS data, hora, satelite, CAST(brilho AS DOUBLE) AS brilho,
                CAST(frp AS DOUBLE) AS frp, CAST(confianca AS DOUBLE) AS confianca
         FROM raw WHERE data_foco <= {AS_OF} AND data_foco > {AS_OF} - 12"""),
+    "daily_scan_mixed_headers": _q(_RAW, f"""
+        SELECT id_externo, CAST(data_foco AS VARCHAR) AS data, hora, satelite, CAST(brilho AS DOUBLE) AS brilho,
+               CAST(frp AS DOUBLE) AS frp, CAST(confianca AS DOUBLE) AS confianca
+        FROM raw WHERE data_foco <= {AS_OF} AND data_foco > {AS_OF} - 12"""),
     "daily_concat": _q(_RAW, """
         SELECT seq, ordinal, CAST(data_foco AS VARCHAR) AS acq_date,
                CASE WHEN data_foco >= DATE '2024-01-11' THEN CAST(brilho AS DOUBLE) END AS bright_ti4 FROM raw"""),
@@ -296,7 +300,7 @@ ORACLE: dict[str, str] = {
                CAST(brilho AS DOUBLE) + CASE WHEN seq % 3 = 0 THEN 1000 ELSE 0 END AS brilho,
                CAST(frp AS DOUBLE) AS frp FROM raw"""),
     "numeric_coercion": _q(_RAW, """
-        SELECT ordinal, CASE WHEN seq % 7 > 2 THEN CAST(frp AS DOUBLE) END AS valor,
+        SELECT ordinal, CASE WHEN seq % 7 > 3 THEN CAST(frp AS DOUBLE) END AS valor,
                CAST(latitude AS DOUBLE) AS latitude FROM raw"""),
     "natural_key": _q(_RAW, "SELECT ordinal, id_externo FROM raw"),
     "drop_invalid": _q(_RAW, """
@@ -356,7 +360,7 @@ boxes AS (
     "weather_join": _q(_TREATED, """
         SELECT id_externo, CAST(frp AS DOUBLE) AS frp, temperatura, umidade, vento, precipitacao FROM joined"""),
     "climate_coercion": _q(_RAW + _WEATHER, "SELECT id_externo, " + ", ".join(
-        f"CASE WHEN seq % 9 > 1 THEN {c} END AS {c}" for c in _WEATHER_COLUMNS) + " FROM clima"),
+        f"CASE WHEN seq % 9 > 2 THEN {c} END AS {c}" for c in _WEATHER_COLUMNS) + " FROM clima"),
     "weather_medians": _q(_TREATED, """
         SELECT ROUND(mt, 6) AS temperatura, ROUND(mu, 6) AS umidade, ROUND(mv, 6) AS vento,
                ROUND(mp, 6) AS precipitacao FROM med"""),
@@ -382,6 +386,23 @@ boxes AS (
         FROM treated t JOIN dim d USING (id_externo)"""),
     "merge_insert_only": _q(_FACT, _plain_fact()),
     "merge_weather": _q(_STAR, _plain_dim()),
+    "merge_moved_dates": _q(_FACT, """
+        SELECT id_externo, CAST(data_foco AS VARCHAR) AS data_foco, CAST(frp AS DOUBLE) AS frp FROM fact
+        UNION ALL SELECT printf('SYN%06d', seq), CAST(data_foco AS VARCHAR), CAST(frp AS DOUBLE) FROM fact
+        WHERE seq % 5 = 0"""),
+    "pipeline_end_to_end": _q(_FACT + _WEATHER + """,
+        landed AS (SELECT * FROM all_clima WHERE seq % 50 <> 7 AND (seq % 1000 = 999 OR (seq // 100) % 3 <> 0)),
+        joined AS (SELECT f.*, c.temperatura, c.umidade, c.vento, c.precipitacao
+                   FROM fact f LEFT JOIN landed c USING (id_externo)),
+        med AS (SELECT quantile_cont(temperatura, 0.5) AS mt, quantile_cont(umidade, 0.5) AS mu,
+                       quantile_cont(precipitacao, 0.5) AS mp FROM joined),
+        filled AS (SELECT bioma, frp, COALESCE(temperatura, mt) AS t, COALESCE(umidade, mu) AS u,
+                          COALESCE(precipitacao, mp) AS p FROM joined, med)""", """
+        SELECT bioma, COUNT(*) AS focos, CAST(SUM(frp) AS DOUBLE) AS frp_total,
+               CAST(SUM(CAST(t AS DECIMAL(5,1))) AS DOUBLE) AS temperatura_total,
+               CAST(SUM(CAST(u AS DECIMAL(5,1))) AS DOUBLE) AS umidade_total,
+               CAST(SUM(CASE WHEN u < 30 AND p < 1 THEN 1 ELSE 0 END) AS BIGINT) AS em_seca
+        FROM filled GROUP BY bioma"""),
     "merge_new_rows": _q(_FACT, "SELECT id_externo, CAST(frp AS DOUBLE) AS frp FROM fact WHERE frp <= 40"),
     "table_counts_loaded": _q(_FACT + _WEATHER + _IMAGES, """
         SELECT 'focos_incendio' AS tabela, COUNT(*) AS linhas FROM fact
@@ -407,7 +428,7 @@ boxes AS (
     "q2_daily_filled": _q(_FACT, f"""
         SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS dia, COUNT(id_externo) AS focos_no_dia
         FROM generate_series({AS_OF} - 30, {AS_OF}, INTERVAL 1 DAY) t(d)
-        LEFT JOIN (SELECT * FROM fact WHERE frp > 150) f ON f.data_foco = CAST(d AS DATE) GROUP BY d"""),
+        LEFT JOIN fact f ON f.data_foco = CAST(d AS DATE) GROUP BY d"""),
     "q3_weather_by_biome": _q(_STAR, f"""
         SELECT bioma, COUNT(*) AS qtd_focos, {_mean('temperatura')} AS temp_media, {_mean('umidade')} AS umidade_media,
                {_mean('vento')} AS vento_medio, CAST(SUM(estacao_seca) AS BIGINT) AS focos_em_seca

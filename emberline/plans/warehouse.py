@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,7 @@ from emberline import lookups, schemas
 from emberline.functions.scalars import literal
 from emberline.operators.clean import keep_first
 from emberline.schemas import KEY
+from emberline.session import remove_path
 from emberline.sources.stage import read_stage, write_evidence, write_stage
 
 
@@ -75,14 +77,23 @@ def _arrival(treated: DataFrame) -> list[str]:
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, key: str = KEY) -> DataFrame:
-    """Insert-only merge: batch rows whose key the target lacks."""
+    """Insert-only merge: batch rows whose key the target lacks.
+
+    The target is first cut down to the batch's keys, so the large side is shuffled
+    only if the batch is too large to broadcast.
+    """
     if target is None:
         return batch
-    return batch.join(target.select(key), key, "left_anti")
+    known = target.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(known, key, "left_anti")
 
 
-# The weather table on disk also carries the date, to find a batch's rows by.
-_STORED_WEATHER = T.StructType([*schemas.WEATHER.fields, schemas.DETECTIONS["data_foco"]])
+# On disk both tables also carry the date, the form of the key and the load.
+_FILED = T.StructType([T.StructField("carga", T.StringType()), T.StructField("forma", T.StringType())])
+_STORED = {
+    "focos_incendio": T.StructType([*schemas.DETECTIONS.fields, *_FILED.fields]),
+    "clima_associado": T.StructType([*schemas.WEATHER.fields, schemas.DETECTIONS["data_foco"], *_FILED.fields]),
+}
 
 
 def _bind_dated_weather(treated: DataFrame) -> DataFrame:
@@ -90,6 +101,18 @@ def _bind_dated_weather(treated: DataFrame) -> DataFrame:
     return bind_weather(dated, "_day").withColumnRenamed("_day", "data_foco")
 
 
+_BIND = {"focos_incendio": bind_detections, "clima_associado": _bind_dated_weather}
+
+
+def key_day(key: str = KEY) -> Column:
+    """The date inside a natural key; NULL for keys of another form."""
+    return F.regexp_extract(key, r"^[^|]*\|[^|]*\|(\d{4}-\d{2}-\d{2})\|[^|]*$", 1).try_cast("date")
+
+
+class ConstraintError(ValueError):
+    """A batch breaks a rule of the star schema; nothing of it was loaded."""
+
+
 @dataclass
 class LoadResult:
     rows: int
@@ -100,9 +123,13 @@ class LoadResult:
 class Warehouse:
     """Three Parquet tables under one folder.
 
-    Each merge is idempotent by key on its own, so a load that stopped between
-    the two tables is completed by running it again; the fact goes first, so a
-    weather row never lacks its detection.
+    A load writes both tables and then its mark; readers only see the rows of
+    marked loads, so a load that stopped half-way shows nothing and is simply
+    run again. A key is in a table once, whatever date it comes with.
+
+    Rows whose key contains their own date are filed as ``natural`` under it,
+    others as ``outra``. A key can thus only be met under the date it contains or
+    among the others, and a merge reads no more than that of the target.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -111,69 +138,104 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str, schema: T.StructType) -> DataFrame | None:
+    def _read(self, path: str, schema: T.StructType, **options) -> DataFrame | None:
         try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
+            return self.spark.read.options(**options).schema(schema).parquet(path)
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
 
+    def read(self, table: str) -> DataFrame | None:
+        """The committed rows of a table with their filing columns."""
+        marks = self._read(self.path("_cargas"), T.StructType(_FILED.fields[:1]), recursiveFileLookup=True)
+        rows = self._read(self.path(table), _STORED[table])
+        if marks is None or rows is None:
+            return None
+        loads = [row["carga"] for row in marks.collect()]  # one row per load
+        return rows.filter(F.col("carga").isin(loads))
+
     def detections(self) -> DataFrame:
-        return self._or_empty("focos_incendio", schemas.DETECTIONS).select(*schemas.DETECTIONS.fieldNames())
+        return self._or_empty(self.read("focos_incendio"), schemas.DETECTIONS)
 
     def weather(self) -> DataFrame:
-        return self._or_empty("clima_associado", _STORED_WEATHER).select(*schemas.WEATHER.fieldNames())
+        return self._or_empty(self.read("clima_associado"), schemas.WEATHER)
 
     def images(self) -> DataFrame:
-        return self._or_empty("imagens_satelite_metadata", schemas.IMAGES)
+        return self._or_empty(self._read(self.path("imagens_satelite_metadata"), schemas.IMAGES), schemas.IMAGES)
 
-    def _or_empty(self, table: str, schema: T.StructType) -> DataFrame:
-        found = self.read(table, schema)
-        return found if found is not None else self.spark.createDataFrame([], schema)
+    def _or_empty(self, found: DataFrame | None, schema: T.StructType) -> DataFrame:
+        if found is None:
+            return self.spark.createDataFrame([], schema)
+        return found.select(*schema.fieldNames())
 
-    def merge_detections(self, treated: DataFrame, dated_keys: bool = True) -> None:
-        """Append unseen detections.
+    def merge_detections(self, treated: DataFrame) -> int:
+        """Append unseen detections; the number of different keys in the batch."""
+        return self._load(treated, ["focos_incendio"])
 
-        Natural keys contain the date, so only the target's folders within the
-        batch's date span can hold a match; with ``dated_keys=False`` (keys of
-        another form) the whole target is compared.
-        """
-        self._merge("focos_incendio", schemas.DETECTIONS, bind_detections, treated, dated_keys)
-
-    def merge_weather(self, treated: DataFrame, dated_keys: bool = True) -> None:
+    def merge_weather(self, treated: DataFrame) -> int:
         """Append unseen weather rows, filed under their detection's date."""
-        self._merge("clima_associado", _STORED_WEATHER, _bind_dated_weather, treated, dated_keys)
-
-    def _merge(self, table: str, schema: T.StructType, bind, treated: DataFrame, dated_keys: bool) -> None:
-        batch = bind(keep_first(treated, KEY, _arrival(treated)))
-        target = self.read(table, schema)
-        if target is not None and dated_keys:
-            first, last = bind(treated).agg(F.min("data_foco"), F.max("data_foco")).first()
-            target = target.filter(F.col("data_foco").between(F.lit(first), F.lit(last)))
-        fresh = new_rows(batch, target)
-        # AQE evens the write out: small dates together, a heavy date in parts
-        (fresh.hint("rebalance", "data_foco").write.mode("append")
-         .partitionBy("data_foco").parquet(self.path(table)))
+        return self._load(treated, ["clima_associado"])
+
+    def load(self, treated: DataFrame) -> int:
+        """Both merges as one load."""
+        return self._load(treated, ["focos_incendio", "clima_associado"])
+
+    def _load(self, treated: DataFrame, tables: list[str]) -> int:
+        staged, path = self._stage(treated)
+        try:
+            return self._commit(staged, tables)
+        finally:
+            remove_path(self.spark, path)
+
+    def _stage(self, treated: DataFrame) -> tuple[DataFrame, str]:
+        """The batch, one row per key, in a folder of its own, so that its making runs once."""
+        path = self.path(f"_stage-{uuid.uuid4().hex}")
+        return read_stage(self.spark, write_stage(keep_first(treated, KEY, _arrival(treated)), path)), path
+
+    def _commit(self, staged: DataFrame, tables: list[str]) -> int:
+        load = uuid.uuid4().hex
+        bound = bind_detections(staged).select(*[f.name for f in schemas.DETECTIONS if not f.nullable])
+        missing = F.lit(False)
+        for name in bound.columns:
+            missing = missing | F.col(name).isNull()
+        # days on the calendar, not rows
+        rows, broken, days = bound.agg(F.count(F.lit(1)), F.count_if(missing), F.collect_set(key_day())).first()
+        if broken:
+            raise ConstraintError(f"{broken} rows lack one of {', '.join(bound.columns)}")
+        for table in tables:
+            batch = _BIND[table](staged)
+            own = F.coalesce(key_day() == F.col("data_foco"), F.lit(False))
+            filed = batch.withColumns({"carga": F.lit(load), "forma": F.when(own, "natural").otherwise("outra")})
+            (new_rows(filed, self.reachable(table, days)).hint("rebalance", "forma", "data_foco").write.mode("append")
+             .partitionBy("forma", "data_foco").parquet(self.path(table)))
+        self.spark.createDataFrame([(load,)], "carga string").coalesce(1).write.parquet(self.path(f"_cargas/{load}"))
+        return rows
+
+    def reachable(self, table: str, days: list) -> DataFrame | None:
+        """The part of a table in which keys with these dates, or with none, can be."""
+        target = self.read(table)
+        if target is None:
+            return None
+        dated = (F.col("forma") == "natural") & F.col("data_foco").isin(days) if days else F.lit(False)
+        return target.filter((F.col("forma") == "outra") | dated)
 
     def append_images(self, images: DataFrame) -> None:
         images.select(*[F.col(f.name).cast(f.dataType) for f in schemas.IMAGES]).write.mode("append").parquet(
             self.path("imagens_satelite_metadata"))
 
-    def load(self, treated: DataFrame, dated_keys: bool = True) -> None:
-        """Both merges, off one staged copy so that the treatment runs once."""
-        treated = read_stage(self.spark, write_stage(treated, self.path("_stage")))
-        self.merge_detections(treated, dated_keys)
-        self.merge_weather(treated, dated_keys)
-
-    def load_or_quarantine(self, treated: DataFrame, quarantine: str, dated_keys: bool = True) -> LoadResult:
+    def load_or_quarantine(self, treated: DataFrame, quarantine: str) -> LoadResult:
         """Load; on an error keep the batch as CSV evidence and report it."""
+        staged = path = None
         try:
-            self.load(treated, dated_keys)
+            staged, path = self._stage(treated)
+            return LoadResult(self._commit(staged, ["focos_incendio", "clima_associado"]), "carregado")
         except Exception as error:  # noqa: BLE001 - any failure must leave evidence
-            write_evidence(treated, quarantine)
+            write_evidence(treated if staged is None else staged, quarantine)
             return LoadResult(0, "quarentena", f"{type(error).__name__}: {error}")
-        return LoadResult(read_stage(self.spark, self.path("_stage")).count(), "carregado")
+        finally:
+            if path is not None:
+                remove_path(self.spark, path)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

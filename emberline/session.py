@@ -52,6 +52,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of scratch data, wherever Spark can write."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the files in one folder, hidden ones left out; none if there is no such folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(where):
+        return []
+    found = [entry.getPath() for entry in system.listStatus(where) if entry.isFile()]
+    return sorted(path.toString() for path in found if path.getName()[0] not in "._")
+
+
 _shipped: set[str] = set()
 
 

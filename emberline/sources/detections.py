@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberline import lookups
 from emberline.functions import scalars as s
+from emberline.session import list_files
 
 # Source column -> canonical column
 CANONICAL_NAMES = {
@@ -22,31 +25,40 @@ CANONICAL_NAMES = {
 }
 
 
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    line = spark.read.text(path).first()
+    return tuple(next(csv.reader([line[0]]))) if line else ()
+
+
 def scan_daily(spark: SparkSession, landing: str, sensor: str, as_of: str, days: int = 3) -> DataFrame | None:
     """Rows of the last ``days`` daily CSV folders, newest day first.
 
-    Layout: ``landing/sensor=<sensor>/date=<yyyy-mm-dd>/*.csv`` with a header.
-    The date filter prunes folders; missing or empty days add nothing, and
-    ``None`` means there is no such sensor folder. ``ordinal`` sorts rows as they
-    arrived (day, file, position), however the files are split.
+    Layout: ``landing/sensor=<sensor>/date=<yyyy-mm-dd>/*.csv`` with a header. Only the wanted
+    days' folders are listed. Files are read under their own header and put
+    together by column name; missing or empty days add nothing, and ``None`` means that
+    nothing has arrived. ``ordinal`` sorts rows as they arrived (day, file,
+    position), however the files are split.
     """
-    try:
-        files = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-                 .option("basePath", f"{landing}/sensor={sensor}")
-                 .csv(f"{landing}/sensor={sensor}"))
-    except AnalysisException:
-        return None
-    if "date" not in files.columns:
+    today = date.fromisoformat(as_of)
+    folders = [f"{landing}/sensor={sensor}/date={today - timedelta(days=back)}" for back in range(days)]
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in (path for folder in folders for path in list_files(spark, folder)):
+        by_header.setdefault(_header(spark, path), []).append(path)
+    by_header.pop((), None)
+    if not by_header:
         return None
-    today = F.lit(as_of).cast("date")
-    recent = files.filter((F.col("date") <= today) & (F.col("date") > F.date_sub(today, days)))
+    age = F.datediff(F.lit(as_of).cast("date"), F.regexp_extract(
+        "_metadata.file_path", r"date=([0-9-]+)/[^/]*$", 1).cast("date"))
     arrival = F.struct(
-        F.datediff(today, F.col("date")).alias("idade"),
+        age.alias("idade"),
         F.col("_metadata.file_path").alias("arquivo"),
         F.col("_metadata.file_block_start").alias("bloco"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("linha"),
     )
-    return recent.withColumn("ordinal", arrival).drop("date")
+    return concatenate([
+        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in header]))
+        .option("header", True).option("mode", "PERMISSIVE").csv(paths).withColumn("ordinal", arrival)
+        for header, paths in by_header.items()])
 
 
 def in_country(df: DataFrame, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
@@ -82,7 +94,7 @@ def standardise(df: DataFrame, position: str = "ordinal") -> DataFrame:
     """
     named = rename_canonical(df)
     numeric = [c for c in ("latitude", "longitude", "brilho", "frp") if c in named.columns]
-    named = named.withColumns({c: s.to_number(c) for c in numeric})
+    named = named.withColumns({c: s.number_in(named, c) for c in numeric})
     if {"data", "hora"} <= set(named.columns):
         key = s.natural_key("latitude", "longitude", "data", "hora")
     else:

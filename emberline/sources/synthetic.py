@@ -34,13 +34,23 @@ def synthetic_detections(keys: DataFrame, as_of: str, key: str = "id", seed: int
 
 def synthetic_weather(detections: DataFrame, key: str = "id_externo", seed: int = 42) -> DataFrame:
     draw = lambda name, low, high: F.round(r.uniform(key, name, low, high, seed), 1).alias(name)
-    return detections.select(key, draw("temperatura", 20, 42), draw("umidade", 10, 90),
-                             draw("vento", 0, 45), draw("precipitacao", 0, 30))
+    order = "ordinal" if "ordinal" in detections.columns else key
+    return detections.select(key, draw("temperatura", 20, 42), draw("umidade", 10, 90), draw("vento", 0, 45),
+                             draw("precipitacao", 0, 30), F.col(order).alias("ordinal"))
+
+
+MISSING_COLUMNS = ("umidade", "velocidade_vento", "ndvi")
+
+
+def synthetic_dataset(keys: DataFrame, key: str = "id", seed: int = 42) -> DataFrame:
+    """Training rows as delivered: two in a hundred lack humidity, wind or vegetation index."""
+    return inject_nulls(synthetic_training(keys, key, seed), "id", MISSING_COLUMNS, 0.02, seed)
 
 
 def synthetic_training(keys: DataFrame, key: str = "id", seed: int = 42, noise: float = 0.9) -> DataFrame:
     """Training rows with twelve inputs and a label, one per key."""
     bounded = lambda draw, low, high: F.round(s.clip(draw, float(low), float(high)), 1)
+    # Distributions and bounds
     table = keys.select(
         F.col(key).alias("id"),
         bounded(r.normal(key, "temp", 31, 5, seed), 15, 48).alias("temperatura"),

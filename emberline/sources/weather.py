@@ -34,13 +34,16 @@ def parse_batches(landed: DataFrame) -> DataFrame:
 
     Replies match ids by position; a bare object counts as a list of one; a reply
     without ``current`` and an unreadable body give no rows; missing rain is 0.
+    ``ordinal`` is the order of arrival: batch, then position in it.
     """
     replies = F.from_json("corpo", "array<struct<current: string>>")
-    pairs = landed.select(F.explode(F.arrays_zip(F.col("ids").alias("id"), replies.alias("reply"))).alias("p"))
+    pairs = landed.select("lote", F.posexplode(
+        F.arrays_zip(F.col("ids").alias("id"), replies.alias("reply"))).alias("posicao", "p"))
     current = F.col("p.reply.current")
     reading = (
         pairs.filter(F.col("p.id").isNotNull() & current.isNotNull() & ~current.isin("{}", "null", ""))
-        .select(F.col("p.id").alias("id_externo"), F.from_json(current, _READING).alias("r"))
+        .select(F.col("p.id").alias("id_externo"), F.from_json(current, _READING).alias("r"),
+                F.struct("lote", "posicao").alias("ordinal"))
     )
     return reading.select(
         "id_externo",
@@ -48,19 +51,23 @@ def parse_batches(landed: DataFrame) -> DataFrame:
         F.col("r.relative_humidity_2m").alias("umidade"),
         F.col("r.wind_speed_10m").alias("vento"),
         F.coalesce("r.precipitation", F.lit(0.0)).alias("precipitacao"),
+        "ordinal",
     )
 
 
 def parse_single(landed: DataFrame) -> DataFrame:
     """``(id_externo, corpo)`` of the per-row provider, wind in m/s.
 
-    Rows without temperature or humidity are unusable and dropped.
+    Rows without temperature or humidity are unusable and dropped. ``ordinal`` is that of
+    ``landed``; without one, replies for the same row are ordered by their text.
     """
-    read = landed.select("id_externo", F.from_json("corpo", _SINGLE).alias("r"))
+    order = "ordinal" if "ordinal" in landed.columns else "corpo"
+    read = landed.select("id_externo", F.from_json("corpo", _SINGLE).alias("r"), F.col(order).alias("ordinal"))
     return read.filter("r.main.temp is not null and r.main.humidity is not null").select(
         "id_externo",
         F.col("r.main.temp").alias("temperatura"),
         F.col("r.main.humidity").alias("umidade"),
         s.ms_to_kmh("coalesce(r.wind.speed, 0.0D)").alias("vento"),
         F.coalesce(F.col("r.rain.1h"), F.lit(0.0)).alias("precipitacao"),
+        "ordinal",
     )

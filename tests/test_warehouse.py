@@ -60,24 +60,57 @@ def test_first_row_of_a_repeated_key_wins(spark, treated):
     assert [float(r["frp"]) for r in store.detections().collect()] == [7.0]
 
 
-def test_keys_without_date_compare_with_everything(spark, treated):
+def test_a_key_comes_in_once_whatever_its_date(spark, treated):
     store = wh.Warehouse(spark, scratch_path(spark, "wh"))
-    row = treated.limit(1).drop("data")
-    store.load(row, dated_keys=False)
-    moved = row.withColumn("data_foco", F.date_add("data_foco", 400))
-    store.load(moved, dated_keys=False)
-    assert store.detections().count() == store.weather().count() == 1
+    some = treated.limit(3).drop("data")
+    other = some.withColumn("id_externo", F.concat(F.lit("SYN"), F.col("id_externo")))
+    store.load(some.unionByName(other))
+    for shift in (0, 4, -400):
+        store.load(some.unionByName(other).withColumn("data_foco", F.date_add("data_foco", shift)))
+    assert store.detections().count() == store.weather().count() == 6
+    moved = some.withColumns({"data_foco": F.date_add("data_foco", 9), "id_externo": F.concat("id_externo", F.lit("0"))})
+    store.load(moved)
+    store.load(moved.withColumn("data_foco", F.date_sub("data_foco", 9)))
+    assert store.detections().count() == store.weather().count() == 9
+
+
+def test_undated_rows_are_refused(spark, treated):
+    store = wh.Warehouse(spark, scratch_path(spark, "wh"))
+    rows = treated.limit(2).drop("data")
+    undated = rows.withColumn("data_foco", F.lit(None).cast("date"))
+    with pytest.raises(wh.ConstraintError):
+        store.load(rows.unionByName(undated.withColumn("id_externo", F.lit("x"))))
+    assert store.detections().count() == 0
+
+
+def test_an_unmarked_load_is_not_seen(spark, treated, monkeypatch):
+    store = wh.Warehouse(spark, scratch_path(spark, "wh"))
+    bind = dict(wh._BIND)
+    monkeypatch.setitem(wh._BIND, "clima_associado", lambda rows: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.load(treated)
+    assert store.detections().count() == 0
+    monkeypatch.setitem(wh._BIND, "clima_associado", bind["clima_associado"])
+    store.load(treated)
+    assert store.detections().count() == store.weather().count() == treated.count()
 
 
 def test_merge_reads_only_the_batch_dates(spark, treated):
     store = wh.Warehouse(spark, scratch_path(spark, "wh"))
     store.load(treated)
-    read = store.detections().filter("data_foco = date'2024-01-10'")
-    plan = read._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(data_foco" in plan
+    day = treated.select("data_foco").first()[0]
+    plan = store.reachable("focos_incendio", [day])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((forma" in plan
+    files = store.reachable("focos_incendio", [day]).inputFiles()
+    assert files
+    fresh = wh.new_rows(wh.bind_detections(treated.filter(F.col("data_foco") == day)),
+                        store.reachable("focos_incendio", [day]))
+    scanned = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((forma" in scanned and fresh.count() == 0
 
 
 def test_failure_leaves_evidence_and_says_so(spark, treated):
+    treated = treated.withColumn("ordinal", F.struct(F.lit(1).alias("idade"), F.col("ordinal").alias("linha")))
     evidence = scratch_path(spark, "evidence")
     result = wh.Warehouse(spark, "nowhere://x").load_or_quarantine(treated, evidence)
     assert result.status == "quarentena" and result.rows == 0 and result.detail
