@@ -1,12 +1,12 @@
 """Exact order statistics without gathering the values anywhere.
 
-``percentile`` and ``median`` keep a map of all distinct values on one task.
-Here each round costs two scans with row-sized results: an approximate
-percentile sketch brackets the wanted rank, conditional counts say exactly how
-many values lie below the bracket, on its ends and inside it. The search goes
-on inside the bracket, which shrinks some thousandfold per round; a value held
-by very many rows becomes an end of the bracket and ends the search. Only when
-at most ``direct`` values are left are they sorted in one aggregate.
+``percentile`` and ``median`` keep a map of all distinct values on one task, and
+sketches of all tasks meet in one. Here each round costs one scan: the span of values around the wanted
+rank is cut into equal steps, rows are counted per step (combined on the map
+side, so a task sends a bounded number of rows), and the search goes on between the least
+and the greatest value of the step that holds the rank. The ends of a span are steps of their own, so
+a value held by very many rows ends the search. Only when at most ``direct``
+values are left are they sorted in one aggregate.
 """
 
 from __future__ import annotations
@@ -23,40 +23,33 @@ from pyspark.sql import functions as F
 from emberline.functions.scalars import literal
 
 DIRECT = 100_000
-ACCURACY = 10_000
+STEPS = 1024
+_LARGEST = 1.7976931348623157e308
 
 
 @dataclass
-class _Interval:
-    """Values of a column strictly inside (low, high), and the ranks sought there.
+class _Span:
+    """The ``size`` values of a column from ``least`` to ``most``, and the ranks sought there.
 
-    ``targets`` maps each rank in the whole column to the rank in the interval.
+    ``targets`` maps each rank in the whole column to the rank in the span.
     """
 
     name: str
     size: int
     targets: dict[int, int]
-    low: float | None = None
-    high: float | None = None
+    least: float
+    most: float
 
     def inside(self) -> str:
-        parts = [f"{self.name} is not null"]
-        if self.low is not None:
-            parts.append(f"{self.name} > {literal(self.low)}")
-        if self.high is not None:
-            parts.append(f"{self.name} < {literal(self.high)}")
-        return " and ".join(parts)
-
-    def clusters(self, margin: float) -> list[list[int]]:
-        """Ranks close enough for one bracket, in order."""
-        groups: list[list[int]] = []
-        for rank in sorted(self.targets):
-            place = self.targets[rank] / self.size
-            if groups and place - self.targets[groups[-1][-1]] / self.size <= margin:
-                groups[-1].append(rank)
-            else:
-                groups.append([rank])
-        return groups
+        return f"{self.name} between {literal(self.least)} and {literal(self.most)}"
+
+    def step(self) -> str:
+        """0 and STEPS - 1 for the ends, those between for what lies between, in order."""
+        low, high = (literal(min(max(x, -_LARGEST), _LARGEST) / 2) for x in (self.least, self.most))
+        place = f"floor(nanvl(({self.name} / 2 - {low}) / ({high} - {low}), 0) * {STEPS})"
+        between = f"cast(least(greatest({place}, 1), {STEPS - 2}) as int)"
+        return (f"case {self.name} when {literal(self.least)} then 0 when {literal(self.most)} then {STEPS - 1} "
+                f"else {between} end")
 
 
 @contextmanager
@@ -84,79 +77,87 @@ def kth_values(df: DataFrame, values: Mapping[str, Column], ranks: Mapping[str,
 
 
 def _search(table: DataFrame, ranks: Mapping[str, Sequence[int]], counts: Mapping[str, int],
-            direct: int = DIRECT, accuracy: int = ACCURACY) -> dict[tuple[str, int], float]:
+            direct: int = DIRECT) -> dict[tuple[str, int], float]:
     for name, wanted in ranks.items():
         for rank in wanted:
             if not 0 <= rank < counts[name]:
                 raise IndexError(f"rank {rank} outside the {counts[name]} values of {name}")
     found: dict[tuple[str, int], float] = {}
-    intervals = [_Interval(name, counts[name], {rank: rank for rank in wanted})
-                 for name, wanted in ranks.items() if wanted]
-    while large := [x for x in intervals if x.size > direct]:
-        small = [x for x in intervals if x.size <= direct]
-        intervals = small + _narrow(table, large, accuracy, found)
-    _pick(table, intervals, found)
+    spans = []
+    for name, (least, most) in _ends(table, [name for name, wanted in ranks.items() if wanted]).items():
+        spans.append(_Span(name, counts[name], {rank: rank for rank in ranks[name]}, least, most))
+    while large := [x for x in spans if x.size > direct]:
+        small = [x for x in spans if x.size <= direct]
+        spans = small + _narrow(table, large, found)
+    _pick(table, spans, found)
     return found
 
 
+def _ends(table: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
+    if not names:
+        return {}
+    row = table.agg(*[F.min(n).alias(f"least{i}") for i, n in enumerate(names)],
+                    *[F.max(n).alias(f"most{i}") for i, n in enumerate(names)]).first()
+    return {n: (row[i], row[len(names) + i]) for i, n in enumerate(names)}
+
+
 def count_values(df: DataFrame, values: Mapping[str, Column]) -> dict[str, int]:
     row = df.agg(*[F.count(expr.cast("double")).alias(name) for name, expr in values.items()]).first()
     return row.asDict()
 
 
-def _narrow(table: DataFrame, intervals: list[_Interval], accuracy: int,
-            found: dict[tuple[str, int], float]) -> list[_Interval]:
-    """One round: bracket the ranks of every interval and count around the brackets."""
-    margin = 2.0 / accuracy
-    sketches, plans = [], []
-    for i, interval in enumerate(intervals):
-        clusters = interval.clusters(margin)
-        shares = []
-        for cluster in clusters:
-            first, last = (interval.targets[cluster[end]] for end in (0, -1))
-            shares += [max((first + 0.5) / interval.size - margin, 0.0),
-                       min((last + 0.5) / interval.size + margin, 1.0)]
-        listed = ", ".join(literal(share) for share in shares)
-        sketches.append(F.expr(f"percentile_approx(if({interval.inside()}, {interval.name}, null), "
-                               f"array({listed}), {accuracy}) as q{i}"))
-        plans.append(clusters)
-    bounds = table.agg(*sketches).first()
-
-    counts, brackets = [], []
-    for i, (interval, clusters) in enumerate(zip(intervals, plans)):
-        for j, cluster in enumerate(clusters):
-            low, high = bounds[i][2 * j], bounds[i][2 * j + 1]
-            brackets.append((interval, cluster, low, high))
-            name, at = interval.name, f"{i}_{j}"
-            for part, condition in (("below", f"{name} < {literal(low)}"), ("low", f"{name} = {literal(low)}"),
-                                    ("between", f"{name} > {literal(low)} and {name} < {literal(high)}"),
-                                    ("high", f"{name} = {literal(high)} and {name} > {literal(low)}")):
-                counts.append(F.expr(f"count_if({interval.inside()} and {condition}) as {part}{at}"))
-    row = table.agg(*counts).first()
-
-    narrowed: list[_Interval] = []
-    for k, (interval, cluster, low, high) in enumerate(brackets):
-        below, at_low, between, at_high = row[4 * k:4 * k + 4]
-        above = interval.size - below - at_low - between - at_high
-        parts = [(below, interval.low, low), (at_low, low, None), (between, low, high), (at_high, high, None),
-                 (above, high, interval.high)]
-        inner: dict[int, _Interval] = {}
-        for rank in cluster:
-            place = interval.targets[rank]
-            for number, (size, left, right) in enumerate(parts):
-                if place < size:
-                    break
-                place -= size
-            if number in (1, 3):
-                found[interval.name, rank] = left
+def _histograms(table: DataFrame, spans: Sequence[_Span]) -> list[list[tuple[int, float, float]]]:
+    """Per span (rows, least, greatest) of its steps, in order."""
+    members = ", ".join(f"if({x.inside()}, named_struct('span', {i}, 'step', {x.step()}, 'value', {x.name}), null)"
+                        for i, x in enumerate(spans))
+    rows = table.select(F.explode(F.expr(f"filter(array({members}), x -> x is not null)")).alias("x")).select("x.*")
+    counted = rows.groupBy("span", "step").agg(F.count(F.lit(1)).alias("n"), F.min("value"), F.max("value"))
+    steps: list[list] = [[] for _ in spans]
+    for span, step, *rest in counted.collect():  # at most STEPS rows per span
+        steps[span].append((step, tuple(rest)))
+    return [[rest for _, rest in sorted(found)] for found in steps]
+
+
+def _narrow(table: DataFrame, spans: list[_Span], found: dict[tuple[str, int], float]) -> list[_Span]:
+    """One round: the step of each wanted rank is its next span."""
+    narrowed: list[_Span] = []
+    for span, steps in zip(spans, _histograms(table, spans)):
+        before, inner = 0, {}
+        for rank, place in sorted(span.targets.items()):
+            while place >= before + steps[0][0]:
+                before += steps.pop(0)[0]
+            size, least, most = steps[0]
+            if least == most or size == 1:
+                found[span.name, rank] = least
             else:
-                piece = inner.setdefault(number, _Interval(interval.name, size, {}, left, right))
-                piece.targets[rank] = place
+                inner.setdefault(before, _Span(span.name, size, {}, least, most)).targets[rank] = place - before
         narrowed += inner.values()
     return narrowed
 
 
-def _pick(table: DataFrame, intervals: list[_Interval], found: dict[tuple[str, int], float]) -> None:
+def cut_points(df: DataFrame, order: str, rows: int, ranges: int = 1) -> list[float]:
+    """Values that cut a column into at least about ``ranges`` ranges of at most ``rows`` rows, single values apart;
+    the first and last range are open."""
+    table = df.select(F.col(order).cast("double").alias("v")).filter("v is not null")
+    total, least, most = table.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
+    rows = max(1, min(rows, math.ceil(total / ranges)))
+    if total <= rows or least == most:
+        return []
+    spans, steps = [_Span("v", total, {}, least, most)], []
+    while spans:
+        found = [step for steps_of in _histograms(table, spans) for step in steps_of]
+        spans = [_Span("v", size, {}, low, high) for size, low, high in found if size > rows and low < high]
+        steps += [step for step in found if step[0] <= rows or step[1] == step[2]]
+    cuts, size = [], 0
+    for count, low, _ in sorted(steps, key=lambda step: step[1]):
+        if size and size + count > rows:
+            cuts.append(low)
+            size = 0
+        size += count
+    return cuts
+
+
+def _pick(table: DataFrame, intervals: list[_Span], found: dict[tuple[str, int], float]) -> None:
     """Sort the few values left (at most ``direct`` per interval) and take each rank."""
     if not intervals:
         return

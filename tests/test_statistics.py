@@ -11,8 +11,9 @@ from emberline.operators import order_stats, ordered
     [5.0], [1.0, 2.0], [None, None],
     list(np.exp(np.random.default_rng(2).normal(size=3000) * 20)),
     [7.0] * 3000,
+    [1e308, -1e308, 1e-300, 5e-324, 0.0, 3.0] * 50 + [1.7976931348623157e308] * 3,
 ])
-@pytest.mark.parametrize("options", [{}, {"direct": 20, "accuracy": 100}, {"direct": 0, "accuracy": 50}])
+@pytest.mark.parametrize("options", [{}, {"direct": 20}, {"direct": 0}])
 def test_quantiles_match_numpy(spark, values, options):
     df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "v double").repartition(4)
     shares = [0.0, 0.25, 0.5, 0.613, 0.75, 1.0]
@@ -32,6 +33,23 @@ def test_order_statistics_keep_no_distinct_map(spark):
     assert [found["v", k] for k in (0, 77_777, 199_999)] == [expected[k] for k in (0, 77_777, 199_999)]
 
 
+def test_infinite_values_are_found(spark):
+    values = [float("-inf")] * 3 + [-1.7976931348623157e308, 2.0, 3.0, 1.7976931348623157e308] + [float("inf")] * 4
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    found = order_stats.kth_values(df, {"v": F.col("v")}, {"v": range(11)}, {"v": 11}, direct=0)
+    assert [found["v", k] for k in range(11)] == sorted(values)
+
+
+@pytest.mark.parametrize("rows", [1, 7, 100])
+def test_cut_points_make_even_ranges(spark, rows):
+    values = list(np.exp(np.random.default_rng(2).normal(size=900) * 30)) + [5.0] * 300
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    cuts = order_stats.cut_points(df, "v", rows)
+    sizes = np.bincount(np.searchsorted(cuts, values, "right"))
+    assert cuts == sorted(set(cuts)) and sorted(sizes)[-2] <= rows and sizes.max() <= max(rows, 300)
+    assert len(sizes) <= 2 * len(values) / rows + 2
+
+
 def test_mode_takes_the_smaller_on_a_tie(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), (None,), (None,), (None,)], "c string")
     assert order_stats.most_frequent(df, "c") == "a"
