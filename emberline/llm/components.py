@@ -1,7 +1,10 @@
-"""Connected components as DataFrame joins; nothing of the graph reaches the driver."""
+"""Steps that store their results, and connected components made of them; no graph reaches the driver."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +18,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def frees_shuffles(operator: Callable) -> Callable:
+    """Within an operator of stored steps, let Spark delete a query's shuffle files when the query ends."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **options):
+        conf = docs.sparkSession.conf
+        before = conf.get(setting, "false")
+        conf.set(setting, "true")
+        try:
+            return operator(docs, *args, **options)
+        finally:
+            conf.set(setting, before)
+
+    return run
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of (a, b) edges; the root is the least node reachable.
 

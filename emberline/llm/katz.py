@@ -23,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberline.llm.components import frees_shuffles
 from emberline.llm.text import chunks, mix, runs
 from emberline.session import scratch_path
 
 ORDER = 2
 LARGE = 5
-BLOCK_TOKENS = 1 << 21
-SHARD_KEYS = 4_000_000
+BLOCK_TOKENS = 1 << 19
+SHARD_KEYS = 1_500_000
 END = np.uint64(0x51ED270B7F5A1E37)
 BLOCK = ("block bigint, doc_ids array<bigint>, held binary, sizes binary, words binary, tokens binary")
 _ANSWER = "block bigint, shard bigint, first binary, second binary, large array<bigint>"
@@ -71,6 +72,16 @@ def blocks(batches: Iterator[pa.RecordBatch], lower: bool = True) -> Iterator[pa
         yield block()
 
 
+def _bytes(counts: np.ndarray) -> bytes:
+    """Counts in the least size that holds them all, after a byte that tells it."""
+    size = int(np.searchsorted([1 << 8, 1 << 16, 1 << 32], counts.max(initial=0), "right"))
+    return bytes([size]) + counts.astype((np.uint8, np.uint16, np.uint32, np.int64)[size]).tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, (np.uint8, np.uint16, np.uint32, np.int64)[data[0]], offset=1).astype(np.int64)
+
+
 class Block:
     """A block's tokens with, per order learnt so far, counts and probabilities at every token."""
 
@@ -121,8 +132,8 @@ class Block:
         cuts = np.searchsorted((mix(keys) % np.uint64(self.shards)).astype(np.int64), np.arange(self.shards + 1))
         some = np.flatnonzero(np.diff(cuts)).tolist()
         return pd.DataFrame({"shard": some, "block": [self.block] * len(some), **{
-            name: [values[cuts[k]:cuts[k + 1]].tobytes() for k in some]
-            for name, values in {"keys": keys, **columns}.items()}})
+            name: [_bytes(values[cuts[k]:cuts[k + 1]]) if name == "counts" else values[cuts[k]:cuts[k + 1]].tobytes()
+                   for k in some] for name, values in {"keys": keys, **columns}.items()}})
 
     def learn(self, answers: pd.DataFrame, discounts: dict[int, Discounts], upto: int) -> None:
         """Probabilities of the orders whose answers are there: ``count`` and ``chance`` are those of the last."""
@@ -130,8 +141,10 @@ class Block:
         for order in range(1, upto + 1):
             own = answers[answers["kind"] == f"count{order}"].sort_values("shard")
             at, keys, first, which, _ = self.asked(order)
-            count = np.concatenate([np.frombuffer(v, np.int64) for v in own["first"]])
-            self.owned = np.concatenate([np.frombuffer(v, bool) for v in own["second"]])
+            parts = [_numbers(v) for v in own["first"]]
+            count = np.concatenate(parts)
+            self.owned = np.concatenate([np.unpackbits(np.frombuffer(v, np.uint8), count=len(p)).astype(bool)
+                                         for v, p in zip(own["second"], parts)])
             discount = discounts[order]
             if order == 1:
                 self.known = count[which]
@@ -206,7 +219,7 @@ def _merge_counts(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("block")
     sizes = [len(k) // 8 for k in rows["keys"]]
     keys = np.concatenate([np.frombuffer(k, np.uint64) for k in rows["keys"]])
-    counts = np.concatenate([np.frombuffer(c, np.int64) for c in rows["counts"]])
+    counts = np.concatenate([_numbers(c) for c in rows["counts"]])
     unique, which = np.unique(keys, return_inverse=True)
     total = np.bincount(which, counts, len(unique)).astype(np.int64)
     trained = np.flatnonzero(counts > 0)
@@ -217,8 +230,8 @@ def _merge_counts(rows: pd.DataFrame) -> pd.DataFrame:
     sums = [int(total.sum()), int((total > 0).sum()), *of[:LARGE + 2].tolist()]
     cuts = np.cumsum(sizes)[:-1]
     return pd.DataFrame({"block": rows["block"], "shard": rows["shard"],
-                         "first": [a.tobytes() for a in np.split(total[which], cuts)],
-                         "second": [a.tobytes() for a in np.split(owned, cuts)],
+                         "first": [_bytes(a) for a in np.split(total[which], cuts)],
+                         "second": [np.packbits(a).tobytes() for a in np.split(owned, cuts)],
                          "large": [sums] + [None] * (len(rows) - 1)})
 
 
@@ -308,6 +321,7 @@ class _Corpus:
         self.store(f"context{order}", questions.groupBy("shard").applyInPandas(_merge_contexts, _ANSWER))
 
 
+@frees_shuffles
 def score(docs: DataFrame, held: F.Column, order: int = ORDER) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per row of ``docs``.
 
