@@ -784,25 +784,34 @@ def alert_table(spark, sf_dir):
 
 # ---------------------------------------------------------------- models
 
-# Sizes for the registered runs; models.Settings() holds the full ones.
-SMALL = models.Settings(trees=40, rounds=20, epochs=60)
+# Prepared rows and fitted models of this application, by data folder: each is made once, at full size.
+_prepared_rows: dict[tuple, tuple] = {}
+_models: dict[tuple, object] = {}
+FULL = models.Settings()
 
 
 def _prepared(spark, sf_dir):
-    train, test = split.train_test(_stored_model_table(spark, sf_dir, noise=0.4), LABEL, KEY)
-    fitted = models.preparation().fit(train)
-    return fitted, fitted.transform(train), fitted.transform(test)
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _prepared_rows:
+        train, test = split.train_test(_stored_model_table(spark, sf_dir, noise=0.4), LABEL, KEY)
+        fitted = models.preparation().fit(train)
+        stored = [stage.read_stage(spark, stage.write_stage(fitted.transform(rows), scratch_path(spark, "prepared")))
+                  for rows in (train, test)]
+        _prepared_rows[key] = (fitted, *stored)
+    return _prepared_rows[key]
 
 
-def _fitted(spark, sf_dir, name, settings=SMALL):
+def _fitted(spark, sf_dir, name):
     fitted, train, test = _prepared(spark, sf_dir)
     names = models.feature_names(fitted)
-    ready = spread(train.select("features", LABEL)).persist()
-    try:
-        model = models.fit_classifier(name, ready, len(names), settings)
-    finally:
-        ready.unpersist()
-    return fitted, model, names, train, test
+    key = spark.sparkContext.applicationId, sf_dir, name
+    if key not in _models:
+        ready = spread(train.select("features", LABEL)).persist()
+        try:
+            _models[key] = models.fit_classifier(name, ready, len(names), FULL)
+        finally:
+            ready.unpersist()
+    return fitted, _models[key], names, train, test
 
 
 def _model_metrics(spark, sf_dir, name):
@@ -831,8 +840,8 @@ def mlp_metrics(spark, sf_dir):
 @query
 def model_comparison(spark, sf_dir):
     """All three, winner marked, through the metrics sink."""
-    train, test = split.train_test(_stored_model_table(spark, sf_dir, noise=0.4), LABEL, KEY)
-    result = models.compare(train, test, models.Settings(trees=20, rounds=10, epochs=40))
+    fitted, _, test = _prepared(spark, sf_dir)
+    result = models.rank(fitted, {name: _fitted(spark, sf_dir, name)[1] for name in models.FOLDERS}, test)
     return spark.read.json(models.write_metrics(result.metrics, result.best, scratch_path(spark, "metrics")))
 
 
@@ -840,7 +849,7 @@ def model_comparison(spark, sf_dir):
 def model_roundtrip(spark, sf_dir):
     """Score and tier rows with a saved and reloaded pipeline."""
     from pyspark.ml import PipelineModel
-    fitted, model, _, _, _ = _fitted(spark, sf_dir, models.FOREST, models.Settings(trees=10))
+    fitted, model, _, _, _ = _fitted(spark, sf_dir, models.FOREST)
     path = scratch_path(spark, "model")
     PipelineModel(stages=[*fitted.stages, model]).write().save(path)
     rows = _model_table(spark, sf_dir)
@@ -850,13 +859,13 @@ def model_roundtrip(spark, sf_dir):
 @query
 def learning_curve_rf(spark, sf_dir):
     _, model, _, _, test = _fitted(spark, sf_dir, models.FOREST)
-    return curves.tree_curve(model, test, curves.forest_steps(SMALL.trees))
+    return curves.tree_curve(model, test, curves.forest_steps(FULL.trees))
 
 
 @query
 def learning_curve_gbt(spark, sf_dir):
     _, model, _, _, test = _fitted(spark, sf_dir, models.BOOSTING)
-    return curves.tree_curve(model, test, curves.boosting_steps(SMALL.rounds, 5))
+    return curves.tree_curve(model, test, curves.boosting_steps(FULL.rounds))
 
 
 @query
@@ -865,7 +874,7 @@ def learning_curve_mlp(spark, sf_dir):
     inputs = len(models.feature_names(fitted))
     ready = spread(train.select("features", LABEL)).persist()
     try:
-        return curves.network_curve(ready, test, inputs, epochs=5)
+        return curves.network_curve(ready, test, inputs, epochs=80)
     finally:
         ready.unpersist()
 
@@ -968,7 +977,7 @@ def stream_daily_counts(spark, sf_dir):
 def stream_scoring(spark, sf_dir):
     """The stream of model rows scored as it arrives equals the batch."""
     from pyspark.ml import PipelineModel
-    fitted, model, _, _, _ = _fitted(spark, sf_dir, models.FOREST, models.Settings(trees=10))
+    fitted, model, _, _, _ = _fitted(spark, sf_dir, models.FOREST)
     pipeline = PipelineModel(stages=[*fitted.stages, model])
     source = scratch_path(spark, "model-stream")
     stage.write_stage(_model_table(spark, sf_dir, noise=0.4), source)

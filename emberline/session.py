@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import shutil
 import tempfile
 import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "emberline", cores: str = "*", **conf: str) -> SparkSession:
@@ -83,8 +85,25 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(application)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Enough partitions for all cores, for work heavy per row rather than per byte.
+#: Least number of partitions, and rows in one, for a fit; neither depends on the machine.
+FIT_PARTITIONS = 16
+FIT_ROWS = 50_000
+
+
+def spread(rows: DataFrame, least: int = FIT_PARTITIONS, most_rows: int = FIT_ROWS) -> DataFrame:
+    """Rows dealt and ordered by their own values, in a number of partitions that follows from theirs.
+
+    A fit that goes through partitions in order thus gives the same model on any number of
+    cores. Counts the rows: use it on stored tables.
+    """
+    partitions = max(least, math.ceil(rows.count() / most_rows))
+    values = F.xxhash64(*[F.to_json(F.struct(c)) if "vector" in kind else F.col(c) for c, kind in rows.dtypes])
+    dealt = rows.withColumn("_deal", values).repartition(partitions, "_deal")
+    return dealt.sortWithinPartitions("_deal").drop("_deal")
+
+
+def widen(rows: DataFrame) -> DataFrame:
+    """Enough partitions for all cores, for row-local work that is heavy per row rather than per byte.
 
     Asking for the partition count runs the shuffles below: use it on stored tables.
     """
