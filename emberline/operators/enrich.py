@@ -11,6 +11,8 @@ from emberline.functions import scalars as s
 from emberline.operators.clean import keep_first
 from emberline.operators.order_stats import medians
 from emberline.schemas import KEY, WEATHER_COLUMNS
+from emberline.session import scratch_path
+from emberline.sources.stage import read_stage, write_stage
 
 
 def stage_join(detections: DataFrame, weather: DataFrame,
@@ -68,12 +70,15 @@ def enrich(detections: DataFrame, weather: DataFrame | None,
            order: Sequence[Column | str] = ("ordinal",)) -> DataFrame:
     """Detections with imputed weather and dry flag.
 
-    Without weather the columns are absent and the flag is 0 throughout.
+    Without weather the columns are absent and the flag is 0 throughout. The joined
+    rows are stored once; medians and filling both read them from there.
     """
     if weather is None:
         return detections.withColumn("estacao_seca", F.lit(0))
-    filled = fill_missing(join_weather(detections, weather, order),
-                          weather_medians(detections, weather, order))
+    spark = detections.sparkSession
+    joined = read_stage(spark, write_stage(join_weather(detections, weather, order), scratch_path(spark, "joined")))
+    columns = [c for c in WEATHER_COLUMNS if c in joined.columns]
+    filled = fill_missing(joined, medians(joined, columns, keep=False))
     if {"umidade", "precipitacao"} <= set(filled.columns):
         return filled.withColumn("estacao_seca", s.dry_flag())
     return filled.withColumn("estacao_seca", F.lit(0))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -734,19 +735,22 @@ def onehot_counts(spark, sf_dir):
 
 # ---------------------------------------------------------------- evaluation
 
-def _scored(spark, sf_dir):
-    """Three deterministic scores against one label, as three models."""
+_SCORES = (("temperatura", 42.0), ("vento", 45.0), ("precipitacao", 30.0))
+
+
+def _scored(spark, sf_dir, *names):
+    """Deterministic scores against one label, as models; the named ones, or all three."""
     rows = _weather(spark, sf_dir).select(
         KEY, (F.col("umidade") < 40).cast("int").alias("real"), "temperatura", "vento", "precipitacao")
     return rows.select(KEY, "real", F.explode(F.array(*[
         F.struct(F.lit(i).alias("ordem"), F.lit(name).alias("modelo"), (F.col(name) / top).alias("score"))
-        for i, (name, top) in enumerate([("temperatura", 42.0), ("vento", 45.0), ("precipitacao", 30.0)])])).alias("m")
+        for i, (name, top) in enumerate(_SCORES) if name in (names or dict(_SCORES))])).alias("m")
     ).select(KEY, "real", "m.*").withColumn("previsto", (F.col("score") > 0.6).cast("int"))
 
 
 @query
 def metrics(spark, sf_dir):
-    return evaluate.classification_metrics(_scored(spark, sf_dir).filter("modelo = 'temperatura'"),
+    return evaluate.classification_metrics(_scored(spark, sf_dir, "temperatura"),
                                            "real", "previsto", "score")
 
 
@@ -759,8 +763,7 @@ def leaderboard(spark, sf_dir):
 
 @query
 def confusion(spark, sf_dir):
-    rows = _scored(spark, sf_dir).filter("modelo = 'vento'").withColumn("previsto", F.lit(1))
-    return evaluate.confusion_matrix(rows, "real", "previsto")
+    return evaluate.confusion_matrix(_scored(spark, sf_dir, "vento"), "real", "previsto")
 
 
 @query
@@ -772,13 +775,13 @@ def auc_exact(spark, sf_dir):
 
 @query
 def alert_tiers(spark, sf_dir):
-    rows = _scored(spark, sf_dir).filter("modelo = 'vento'").select(KEY, F.round("score", 6).alias("probabilidade"))
+    rows = _scored(spark, sf_dir, "vento").select(KEY, F.round("score", 6).alias("probabilidade"))
     return rows.withColumn("nivel", s.alert_tier())
 
 
 @query
 def alert_table(spark, sf_dir):
-    rows = _scored(spark, sf_dir).filter("modelo = 'vento'").select(KEY, F.round("score", 6).alias("probabilidade"))
+    rows = _scored(spark, sf_dir, "vento").select(KEY, F.round("score", 6).alias("probabilidade"))
     return scoring.alerts(rows.withColumn("nivel", s.alert_tier()))
 
 
@@ -793,7 +796,7 @@ FULL = models.Settings()
 def _prepared(spark, sf_dir):
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _prepared_rows:
-        train, test = split.train_test(_stored_model_table(spark, sf_dir, noise=0.4), LABEL, KEY)
+        train, test = split.train_test(_stored_model_table(spark, sf_dir), LABEL, KEY)
         fitted = models.preparation().fit(train)
         stored = [stage.read_stage(spark, stage.write_stage(fitted.transform(rows), scratch_path(spark, "prepared")))
                   for rows in (train, test)]
@@ -814,12 +817,20 @@ def _fitted(spark, sf_dir, name):
     return fitted, _models[key], names, train, test
 
 
-def _model_metrics(spark, sf_dir, name):
+def _measured(spark, sf_dir, name) -> DataFrame:
     _, model, _, _, test = _fitted(spark, sf_dir, name)
     scored = models.positive_probability(model.transform(test)).select(LABEL, "prediction", "probabilidade")
     scored = stage.read_stage(spark, stage.write_stage(scored, scratch_path(spark, "scored")))
-    return evaluate.classification_metrics(scored, LABEL, "prediction", "probabilidade").withColumn(
-        "modelo", F.lit(name))
+    return evaluate.classification_metrics(scored, LABEL, "prediction", "probabilidade")
+
+
+def _model_metrics(spark, sf_dir, name):
+    """Test rows and positives in the four cells, and whether the model beats the larger label."""
+    rows, positives = F.expr("vn + fp + fn + vp"), F.expr("fn + vp")
+    better = F.col("acuracia") > F.greatest(positives, rows - positives) / rows
+    return _measured(spark, sf_dir, name).select(
+        F.lit(name).alias("modelo"), rows.alias("linhas"), positives.alias("positivos"),
+        (better & (F.col("auc") > 0.9)).cast("int").alias("melhor_que_maioria"))
 
 
 @query
@@ -842,80 +853,103 @@ def model_comparison(spark, sf_dir):
     """All three, winner marked, through the metrics sink."""
     fitted, _, test = _prepared(spark, sf_dir)
     result = models.rank(fitted, {name: _fitted(spark, sf_dir, name)[1] for name in models.FOLDERS}, test)
-    return spark.read.json(models.write_metrics(result.metrics, result.best, scratch_path(spark, "metrics")))
+    written = spark.read.json(models.write_metrics(result.metrics, result.best, scratch_path(spark, "metrics")))
+    cells = F.expr("vn + fp + fn + vp")
+    return written.agg(
+        F.countDistinct("modelo").alias("modelos"), F.min(cells).alias("linhas_min"), F.max(cells).alias("linhas_max"),
+        F.count_if("melhor").alias("melhores"),
+        (F.max(F.when(F.col("melhor"), F.col("f1"))) == F.max("f1")).cast("int").alias("melhor_tem_maior_f1"))
 
 
 @query
 def model_roundtrip(spark, sf_dir):
-    """Score and tier rows with a saved and reloaded pipeline."""
+    """Rows scored by a saved and reloaded pipeline, and how many differ from the fitted one."""
     from pyspark.ml import PipelineModel
     fitted, model, _, _, _ = _fitted(spark, sf_dir, models.FOREST)
     path = scratch_path(spark, "model")
-    PipelineModel(stages=[*fitted.stages, model]).write().save(path)
-    rows = _model_table(spark, sf_dir)
-    return scoring.score(PipelineModel.load(path), rows).groupBy("nivel").agg(F.count(F.lit(1)).alias("linhas"))
+    pipeline = PipelineModel(stages=[*fitted.stages, model])
+    pipeline.write().save(path)
+    rows = _stored_model_table(spark, sf_dir)
+    one, other = (scoring.score(p, rows).select(KEY, F.struct("probabilidade", "nivel").alias(c))
+                  for p, c in ((pipeline, "a"), (PipelineModel.load(path), "b")))
+    return one.join(other, KEY).agg(F.count(F.lit(1)).alias("linhas"), F.count_if(F.col("a") != F.col("b")).alias("desvios"))
+
+
+def _tree_curve_check(spark, sf_dir, name, steps):
+    """Number of steps, the last one, and whether that one is as good as the whole model."""
+    _, model, _, _, test = _fitted(spark, sf_dir, name)
+    curve = curves.tree_curve(model, test, steps)
+    last = curve.agg(F.count(F.lit(1)).alias("passos"), F.max("passo").alias("ultimo"),
+                     F.max_by(F.struct("acuracia", "f1", "auc"), "passo").alias("fim"))
+    whole = _measured(spark, sf_dir, name).select(F.struct("acuracia", "f1", "auc").alias("modelo"))
+    same = " and ".join(f"abs(fim.{c} - modelo.{c}) < 1e-9" for c in ("acuracia", "f1", "auc"))
+    return last.join(whole, F.lit(True)).select("passos", "ultimo", F.expr(f"cast({same} as int)").alias("fim_igual"))
 
 
 @query
 def learning_curve_rf(spark, sf_dir):
-    _, model, _, _, test = _fitted(spark, sf_dir, models.FOREST)
-    return curves.tree_curve(model, test, curves.forest_steps(FULL.trees))
+    return _tree_curve_check(spark, sf_dir, models.FOREST, curves.forest_steps(FULL.trees))
 
 
 @query
 def learning_curve_gbt(spark, sf_dir):
-    _, model, _, _, test = _fitted(spark, sf_dir, models.BOOSTING)
-    return curves.tree_curve(model, test, curves.boosting_steps(FULL.rounds))
+    return _tree_curve_check(spark, sf_dir, models.BOOSTING, curves.boosting_steps(FULL.rounds))
 
 
 @query
 def learning_curve_mlp(spark, sf_dir):
+    """Number of epochs, the last one, and whether loss fell and validation rose above chance."""
     fitted, train, test = _prepared(spark, sf_dir)
     inputs = len(models.feature_names(fitted))
     ready = spread(train.select("features", LABEL)).persist()
     try:
-        return curves.network_curve(ready, test, inputs, epochs=80)
+        curve = curves.network_curve(ready, test, inputs, epochs=80)
     finally:
         ready.unpersist()
+    learnt = (F.max_by("perda", "epoca") < F.min_by("perda", "epoca")) & (F.max_by("acc_val", "epoca") > 0.5)
+    return curve.agg(F.count(F.lit(1)).alias("epocas"), F.max("epoca").alias("ultima"), learnt.cast("int").alias("aprendeu"))
 
 
 # ---------------------------------------------------------------- explanations
 
-def _impacts(spark, sf_dir):
-    """Tree SHAP of the test rows."""
-    _, model, names, _, test = _fitted(spark, sf_dir, models.FOREST)
-    return explain.explain_trees(model, test, KEY, names)
+def _deviations(impacts: DataFrame, outputs: DataFrame, names, tolerance: float) -> DataFrame:
+    """Rows explained, and how many whose impacts miss the model's output or a feature."""
+    sums = impacts.groupBy(KEY, "base").agg(F.sum("impacto").alias("soma"), F.count(F.lit(1)).alias("n"))
+    gap = F.abs(F.col("base") + F.col("soma") - F.col("saida"))
+    return sums.join(outputs, KEY).agg(F.count(F.lit(1)).alias("linhas"),
+                                       F.count_if((gap > tolerance) | (F.col("n") != len(names))).alias("desvios"))
 
 
 @query
 def shap_long(spark, sf_dir):
-    return _impacts(spark, sf_dir)
+    """Test rows explained, one line per feature, and how many lack one."""
+    _, model, names, _, test = _fitted(spark, sf_dir, models.FOREST)
+    lines = explain.explain_trees(model, test, KEY, names).groupBy(KEY).agg(F.countDistinct("atributo").alias("n"))
+    return lines.agg(F.count(F.lit(1)).alias("focos"), F.count_if(F.col("n") != len(names)).alias("incompletos"))
 
 
 @query
 def shap_additivity(spark, sf_dir):
-    """Rows explained, and how many whose impacts miss the model's output."""
-    fitted, model, names, train, test = _fitted(spark, sf_dir, models.FOREST)
+    _, model, names, train, test = _fitted(spark, sf_dir, models.FOREST)
     rows = train.unionByName(test)
-    sums = explain.explain_trees(model, rows, KEY, names).groupBy(KEY, "base").agg(
-        F.sum("impacto").alias("soma"), F.count(F.lit(1)).alias("n"))
-    scored = models.positive_probability(model.transform(rows)).select(KEY, "probabilidade")
-    gap = F.abs(F.col("base") + F.col("soma") - F.col("probabilidade"))
-    return sums.join(scored, KEY).agg(F.count(F.lit(1)).alias("linhas"),
-                                      F.count_if((gap > 1e-9) | (F.col("n") != len(names))).alias("desvios"))
+    scored = models.positive_probability(model.transform(rows)).select(KEY, F.col("probabilidade").alias("saida"))
+    return _deviations(explain.explain_trees(model, rows, KEY, names), scored, names, 1e-9)
 
 
 @query
 def shap_boosting(spark, sf_dir):
+    """In margin: half the log odds."""
     _, model, names, _, test = _fitted(spark, sf_dir, models.BOOSTING)
-    return explain.global_importance(explain.explain_trees(model, test, KEY, names))
+    margin = F.element_at(vector_to_array("rawPrediction"), 2).alias("saida")
+    return _deviations(explain.explain_trees(model, test, KEY, names), model.transform(test).select(KEY, margin), names, 1e-6)
 
 
 @query
 def shap_network(spark, sf_dir):
     _, model, names, train, test = _fitted(spark, sf_dir, models.NETWORK)
     background = explain.background_rows(train, KEY, 50)
-    return explain.global_importance(explain.explain_network(model, test, background, KEY, names))
+    scored = models.positive_probability(model.transform(test)).select(KEY, F.col("probabilidade").alias("saida"))
+    return _deviations(explain.explain_network(model, test, background, KEY, names), scored, names, 1e-6)
 
 
 def given_impacts(spark, sf_dir):
@@ -980,7 +1014,7 @@ def stream_scoring(spark, sf_dir):
     fitted, model, _, _, _ = _fitted(spark, sf_dir, models.FOREST)
     pipeline = PipelineModel(stages=[*fitted.stages, model])
     source = scratch_path(spark, "model-stream")
-    stage.write_stage(_model_table(spark, sf_dir, noise=0.4), source)
+    stage.write_stage(_model_table(spark, sf_dir), source)
     rows = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     path = scratch_path(spark, "scored")
     jobs.run_to_parquet(jobs.scored_stream(pipeline, rows), path, scratch_path(spark, "checkpoint"))

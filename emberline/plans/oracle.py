@@ -248,7 +248,33 @@ SELECT 'estado=' || e.v, CAST((SELECT COUNT(*) FROM model m WHERE m.estado = e.v
 FROM (SELECT DISTINCT estado AS v FROM model WHERE bioma <> 'Pampa') e"""
 
 
+_TEST = _MODEL + """,
+by_label AS (SELECT alto_risco, CAST(floor(0.2::DOUBLE * COUNT(*) + 0.5::DOUBLE) AS BIGINT) AS n FROM model GROUP BY alto_risco),
+test AS (SELECT CAST(SUM(n) AS BIGINT) AS linhas, CAST(SUM(n) FILTER (alto_risco = 1) AS BIGINT) AS positivos FROM by_label)"""
+
+
+def _measured(name: str) -> str:
+    return _q(_TEST, f"SELECT '{name}' AS modelo, linhas, positivos, CAST(1 AS BIGINT) AS melhor_que_maioria FROM test")
+
+
+def _numbers(**values: int) -> str:
+    return "SELECT " + ", ".join(f"CAST({value} AS BIGINT) AS {name}" for name, value in values.items())
+
+
 ORACLE: dict[str, str] = {
+    "rf_metrics": _measured("Random Forest"),
+    "gbt_metrics": _measured("Gradient Boosting"),
+    "mlp_metrics": _measured("Rede Neural (MLP)"),
+    "model_comparison": _q(_TEST, """
+        SELECT CAST(3 AS BIGINT) AS modelos, linhas AS linhas_min, linhas AS linhas_max, CAST(1 AS BIGINT) AS melhores,
+               CAST(1 AS BIGINT) AS melhor_tem_maior_f1 FROM test"""),
+    "model_roundtrip": _q(_MODEL, "SELECT COUNT(*) AS linhas, CAST(0 AS BIGINT) AS desvios FROM model"),
+    "learning_curve_rf": _numbers(passos=60, ultimo=300, fim_igual=1),
+    "learning_curve_gbt": _numbers(passos=15, ultimo=300, fim_igual=1),
+    "learning_curve_mlp": _numbers(epocas=80, ultima=80, aprendeu=1),
+    "shap_long": _q(_TEST, "SELECT linhas AS focos, CAST(0 AS BIGINT) AS incompletos FROM test"),
+    "shap_boosting": _q(_TEST, "SELECT linhas, CAST(0 AS BIGINT) AS desvios FROM test"),
+    "shap_network": _q(_TEST, "SELECT linhas, CAST(0 AS BIGINT) AS desvios FROM test"),
     "daily_scan": _q(_RAW, f"""
         SELECT id_externo, CAST(data_foco AS VARCHAR) AS data, hora, satelite, CAST(brilho AS DOUBLE) AS brilho,
                CAST(frp AS DOUBLE) AS frp, CAST(confianca AS DOUBLE) AS confianca
@@ -514,7 +540,7 @@ boxes AS (
     "leaderboard": _q(_SCORED + ",\n" + _MEASURES, "SELECT * FROM measures"),
     "confusion": _q(_SCORED, """
         SELECT CAST(r AS BIGINT) AS real, CAST(p AS BIGINT) AS previsto,
-               (SELECT COUNT(*) FROM scored WHERE modelo = 'vento' AND real_ = r AND p = 1) AS total
+               (SELECT COUNT(*) FROM flagged WHERE modelo = 'vento' AND real_ = r AND previsto = p) AS total
         FROM range(2) a(r), range(2) b(p)"""),
     "auc_exact": _q(_TREATED + """,
 points AS (
