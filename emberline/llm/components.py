@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.session import scratch_path
@@ -19,22 +19,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def frees_shuffles(operator: Callable) -> Callable:
-    """Within an operator of stored steps, let Spark delete a query's shuffle files when the query ends."""
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    """Within an operator of stored steps, let Spark delete a query's shuffle files when the query ends.
+
+    Batches for Python are kept small too: a row is a whole text.
+    """
+    settings = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+                "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
     @wraps(operator)
     def run(docs: DataFrame, *args, **options):
         conf = docs.sparkSession.conf
-        before = conf.get(setting, "false")
-        conf.set(setting, "true")
+        before = {name: conf.get(name) for name in settings}
         try:
+            for name, value in settings.items():
+                conf.set(name, value)
             return operator(docs, *args, **options)
         finally:
-            conf.set(setting, before)
+            for name, value in before.items():
+                conf.set(name, value)
 
     return run
 
 
+def small_batches(spark: SparkSession) -> None:
+    """For sessions that run these operators: a row is a whole text, so few of them make a batch for Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root) for the nodes of (a, b) edges; the root is the least node reachable.
 

@@ -16,7 +16,7 @@ is left, so that no link is lost.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -24,18 +24,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.components import connected, stored
+from emberline.llm.bitset import only
+from emberline.llm.components import connected, frees_shuffles, stored
 from emberline.llm.text import Chunk, chunks, mix, runs
 
 WORDS = 5
 GROUPS = 256
-#: One counter per hash slot tells common shingles apart; these come last in the common order.
-SLOT_BITS = 20
+#: One counter per hash slot tells common shingles apart; these come last in the common order. Only hashes below
+#: a limit are counted: the others come late anyway.
+SLOT_BITS = 22
 SLOT_ROWS = 64
-SHARD_TOKENS = 2_000_000
+COUNTED = np.uint64(int(0.35 * 2 ** 64))
+COMMON = 16
+SHARD_TOKENS = 1_000_000
 BLOCK = 4096
 LEAF = 16
-VERIFY_ROWS = 2000
+SLOT_SETS = 200
+VERIFY_ROWS = 1000
 FAN = 256
 
 # ------------------------------------------------------------------ shingles
@@ -59,35 +64,47 @@ def _slot(tokens: np.ndarray) -> np.ndarray:
 
 
 def commonness(docs: DataFrame) -> np.ndarray:
-    """Per hash slot, how far above the mean the shingles of all documents fill it: 0 up to 4 times, then doublings."""
+    """Per hash slot, how common its shingles are in all documents: 0, or doublings of the mean from 4 times on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SLOT_BITS, np.int64)
+        total, waiting = np.zeros(1 << SLOT_BITS, np.uint32), []
+
+        def add() -> None:
+            slots, counts = np.unique(np.concatenate(waiting), return_counts=True)
+            total[slots] += counts.astype(np.uint32)
+            waiting.clear()
+
         for batch in batches:
             for chunk in chunks(batch.column(0)):
-                total += np.bincount(_slot(runs(chunk.hashes(lower=True), WORDS)), minlength=1 << SLOT_BITS)
-        rows = np.split(total, SLOT_ROWS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLOT_ROWS)), pa.array([r.tobytes() for r in rows])],
-                                         ["part", "counts"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        counts = sum(np.frombuffer(c, np.int64) for c in rows["counts"])
-        return pd.DataFrame({"part": rows["part"].iloc[:1], "counts": [counts.tobytes()]})
+                tokens = runs(chunk.hashes(lower=True), WORDS)
+                waiting.append(_slot(tokens[tokens < COUNTED]))
+                if sum(map(len, waiting)) >= 1 << 20:
+                    add()
+        if waiting:
+            add()
+        for part, counts in enumerate(np.split(total, SLOT_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([counts.tobytes()], pa.binary())],
+                                             ["part", "counts"])
+
+    def add_up(rows: pd.DataFrame) -> pd.DataFrame:
+        counts = sum(np.frombuffer(c, np.uint32).astype(np.int64) for c in rows["counts"])
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "counts": [np.minimum(counts, 2 ** 32 - 1).astype(
+            np.uint32).tobytes()]})
 
     kind = "part bigint, counts binary"
-    parts = docs.select("text").mapInArrow(run, kind).groupBy("part").applyInPandas(add, kind).collect()
+    parts = docs.select("text").mapInArrow(run, kind).groupBy("part").applyInPandas(add_up, kind).collect()
     # SLOT_ROWS rows of a fixed size
     counts = np.zeros(1 << SLOT_BITS, np.int64)
     for row in parts:
         size = len(counts) // SLOT_ROWS
-        counts[row.part * size:(row.part + 1) * size] = np.frombuffer(row.counts, np.int64)
+        counts[row.part * size:(row.part + 1) * size] = np.frombuffer(row.counts, np.uint32)
     share = counts / max(1.0, counts.mean())
-    return np.where(share > 4, np.log2(np.maximum(share, 1)), 0).astype(np.uint8)
+    return np.where((share >= 4) & (counts >= COMMON), np.log2(np.maximum(share, 1)), 0).astype(np.uint8)
 
 
 def first_coordinates(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The first of a set's coordinates in the common order, one of which a linked set shares."""
     wanted = len(tokens) - (4 * len(tokens) + 4) // 5 + 1
-    levels = common[_slot(tokens)]
+    levels = np.where(tokens < COUNTED, common[_slot(tokens)], 0)
     if not levels.any():
         return tokens[:wanted]
     return tokens[np.argsort(levels, kind="stable")[:wanted]]
@@ -97,19 +114,33 @@ def count_vector(tokens: np.ndarray) -> np.ndarray:
     return np.bincount((mix(tokens) >> np.uint64(56)).astype(np.int64), minlength=GROUPS).astype(np.uint16)
 
 
+def packed(vector: np.ndarray) -> bytes:
+    """A byte per count where that is enough."""
+    return (vector.astype(np.uint8) if vector.max(initial=0) < 256 else vector).tobytes()
+
+
+def unpacked(rows: Sequence[bytes]) -> np.ndarray:
+    out = np.empty((len(rows), GROUPS), np.uint16)
+    for i, row in enumerate(rows):
+        out[i] = np.frombuffer(row, np.uint8 if len(row) == GROUPS else np.uint16)
+    return out
+
+
 def _sketches(common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in chunks(batch.column(1)):
-                ones, twos, sizes, firsts = [], [], [], []
+                ones, twos, sizes, firsts, vectors = [], [], [], [], []
                 for tokens in shingle_sets(chunk):
                     ones.append(int(np.bitwise_xor.reduce(tokens, initial=np.uint64(0)).view(np.int64)))
                     twos.append(int(mix(tokens + np.uint64(7)).sum(dtype=np.uint64).view(np.int64)))
                     sizes.append(len(tokens))
                     firsts.append(first_coordinates(tokens, common.value).tobytes() if len(tokens) else b"")
+                    vectors.append(packed(count_vector(tokens)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[chunk.first:chunk.last], pa.array(ones, pa.int64()), pa.array(twos, pa.int64()),
-                     pa.array(sizes, pa.int64()), pa.array(firsts, pa.binary())], ["doc_id", "one", "two", "n", "firsts"])
+                     pa.array(sizes, pa.int64()), pa.array(firsts, pa.binary()), pa.array(vectors, pa.binary())],
+                    ["doc_id", "one", "two", "n", "firsts", "vector"])
 
     return run
 
@@ -255,56 +286,70 @@ def passing(points: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray)
     return spare >= 0, spare
 
 
-def _pairs_of(small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    a, b = np.triu_indices(len(small), 1)
-    return small[a], small[b]
-
+class _Slot:
+    """The points of a slot, and the sets of them that met."""
 
-def _likeliest(spanning: bool, most: int):
-    def run(met: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        """Per point its ``most`` likeliest partners in other components; ``more`` tells if there were others."""
+    def __init__(self, met: pd.DataFrame, points: pd.DataFrame):
         points = points.sort_values("cid").reset_index(drop=True)
-        ids, sizes, parts = (points[c].to_numpy(np.int64) for c in ("cid", "n", "part"))
-        vectors = np.stack([np.frombuffer(v, np.uint16) for v in points["vector"]]) if len(points) else None
-        found_a, found_b, found_s = [], [], []
+        self.ids, self.sizes, self.parts = (points[c].to_numpy(np.int64) for c in ("cid", "n", "part"))
+        self.vectors = unpacked(points["vector"].tolist())
+        self.met = met["members"]
+
+    def candidates(self, spanning: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs of points in different components that reach the bound, and by how much; some more than once."""
         small_a, small_b = [], []
-        for members in met["members"]:
-            own = np.searchsorted(ids, np.asarray(members, np.int64))
-            if (parts[own] == parts[own[0]]).all():
+        for members in self.met:
+            own = np.searchsorted(self.ids, np.asarray(members, np.int64))
+            own = own[own < len(self.ids)]
+            own = own[np.isin(self.ids[own], members)]
+            if len(own) < 2 or (self.parts[own] == self.parts[own[0]]).all():
                 continue
             if len(own) <= 2 * LEAF:
-                a, b = _pairs_of(own)
-                small_a.append(a)
-                small_b.append(b)
+                a, b = np.triu_indices(len(own), 1)
+                small_a.append(own[a])
+                small_b.append(own[b])
                 continue
-            tree = CountTree(vectors[own], sizes[own], parts[own])
+            tree = CountTree(self.vectors[own], self.sizes[own], self.parts[own])
             for a, b in tree.candidates(spanning):
                 ok, spare = passing(tree.points, tree.sizes, a, b)
-                found_a.append(own[a[ok]])
-                found_b.append(own[b[ok]])
-                found_s.append(spare[ok])
+                yield own[a[ok]], own[b[ok]], spare[ok]
         if small_a:
-            pairs = np.unique(np.concatenate(small_a) * len(ids) + np.concatenate(small_b))
-            a, b = pairs // len(ids), pairs % len(ids)
-            apart = (parts[a] != parts[b]) & (5 * sizes[a] >= 4 * sizes[b]) & (5 * sizes[b] >= 4 * sizes[a])
+            pairs = np.unique(np.concatenate(small_a) * len(self.ids) + np.concatenate(small_b))
+            a, b = pairs // len(self.ids), pairs % len(self.ids)
+            sizes = self.sizes
+            apart = (self.parts[a] != self.parts[b]) & (5 * sizes[a] >= 4 * sizes[b]) & (5 * sizes[b] >= 4 * sizes[a])
             a, b = a[apart], b[apart]
-            ok, spare = passing(vectors, sizes, a, b)
-            found_a.append(a[ok])
-            found_b.append(b[ok])
-            found_s.append(spare[ok])
-        if not sum(map(len, found_a)):
+            ok, spare = passing(self.vectors, sizes, a, b)
+            yield a[ok], b[ok], spare[ok]
+
+
+def _possible(met: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+    """The points that have any candidate at all."""
+    slot = _Slot(met, points)
+    marked = np.zeros(len(slot.ids), bool)
+    for a, b, _ in slot.candidates(spanning=False):
+        marked[a] = marked[b] = True
+    return pd.DataFrame({"slot": met["slot"].iloc[0] if len(met) else 0, "cid": slot.ids[marked]})
+
+
+def _likeliest(spanning: bool, most: int):
+    def run(met: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        """Per point its ``most`` likeliest partners in other components; ``more`` tells if there were others."""
+        slot = _Slot(met, points)
+        found = list(slot.candidates(spanning))
+        if not sum(len(a) for a, _, _ in found):
             return pd.DataFrame({"a": [], "b": [], "more": []}).astype({"a": "int64", "b": "int64", "more": bool})
-        a, b, spare = (np.concatenate(x) for x in (found_a, found_b, found_s))
+        a, b, spare = (np.concatenate([f[i] for f in found]) for i in range(3))
         a, b = np.minimum(a, b), np.maximum(a, b)
-        _, once = np.unique(a * len(ids) + b, return_index=True)
+        _, once = np.unique(a * len(slot.ids) + b, return_index=True)
         a, b, spare = a[once], b[once], spare[once]
         ends, pair = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
         order = np.lexsort((pair, -np.tile(spare, 2), ends))
-        first = np.searchsorted(ends[order], np.arange(len(ids)))
+        first = np.searchsorted(ends[order], np.arange(len(slot.ids)))
         rank = np.arange(len(order)) - first[ends[order]]
         chosen = np.unique(pair[order[rank < most]])
         more = len(chosen) < len(a)
-        return pd.DataFrame({"a": ids[a[chosen]], "b": ids[b[chosen]], "more": more})
+        return pd.DataFrame({"a": slot.ids[a[chosen]], "b": slot.ids[b[chosen]], "more": more})
 
     return run
 
@@ -344,22 +389,17 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ the join
 
-def _with_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _own_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of the wanted class only: a row may share its id with others."""
     for batch in batches:
         for chunk in chunks(batch.column(1)):
-            part = slice(chunk.first, chunk.last)
-            keep, vectors, sizes = [], [], []
-            for tokens, one in zip(shingle_sets(chunk), batch.column(2)[part].to_pylist()):
-                keep.append(int(np.bitwise_xor.reduce(tokens, initial=np.uint64(0)).view(np.int64)) == one)
-                vectors.append(count_vector(tokens).tobytes())
-                sizes.append(len(tokens))
-            rows = pa.RecordBatch.from_arrays(
-                [batch.column(0)[part], batch.column(1)[part], pa.array(vectors, pa.binary()),
-                 pa.array(sizes, pa.int64())], ["cid", "text", "vector", "n"])
-            yield rows.filter(pa.array(keep))
+            part = batch.slice(chunk.first, chunk.last - chunk.first)
+            keep = [int(np.bitwise_xor.reduce(tokens, initial=np.uint64(0)).view(np.int64)) == one
+                    for tokens, one in zip(shingle_sets(chunk), part.column(2).to_pylist())]
+            yield part.select(["cid", "text"]).filter(pa.array(keep, pa.bool_()))
 
 
+@frees_shuffles
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by links) per row of ``docs``.
 
@@ -370,28 +410,35 @@ def join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(commonness(docs))
     sketches = stored(docs.select("doc_id", "text").mapInArrow(
-        _sketches(common), "doc_id bigint, one bigint, two bigint, n bigint, firsts binary"), "sketches")
+        _sketches(common), "doc_id bigint, one bigint, two bigint, n bigint, firsts binary, vector binary"),
+        "sketches")
     classes = stored(sketches.filter("n > 0").groupBy("one", "two", "n").agg(
-        F.min("doc_id").alias("least"), F.first("firsts").alias("firsts")).withColumn(
-            "cid", F.monotonically_increasing_id()), "classes")
+        F.min("doc_id").alias("least"), F.first("firsts").alias("firsts"), F.first("vector").alias("vector"))
+        .withColumn("cid", F.monotonically_increasing_id()), "classes")
     tokens = classes.agg(F.sum(F.length("firsts")) / 8).first()[0] or 0
     shards = max(1, math.ceil(tokens / SHARD_TOKENS))
     posted = classes.select("cid", "n", "firsts").mapInArrow(
         _post(shards), "shard bigint, tokens binary, which binary, ids binary, sizes binary")
     met = posted.groupBy("shard").applyInPandas(_meet, "digest bigint, least bigint, members array<bigint>")
     met = stored(met.groupBy("digest", "least").agg(F.first("members").alias("members")), "met")
-    slots = max(1, math.ceil(met.count() / 2000))
+    slots = max(1, math.ceil(met.count() / SLOT_SETS))
     met = met.select(F.pmod(F.xxhash64("least"), F.lit(slots)).alias("slot"), "members")
-    places = stored(met.select("slot", F.explode("members").alias("cid")).distinct(), "places")
-    # the texts of classes that met another
-    wanted = stored(places.select("cid").distinct().join(classes.select("cid", "least", "one"), "cid"), "wanted")
-    texts = stored(wanted.alias("w").join(docs.select("doc_id", "text").alias("d"), F.col("w.least").eqNullSafe(
-        F.col("d.doc_id"))).select("cid", "text", "one").mapInArrow(
-            _with_vectors, "cid bigint, text string, vector binary, n bigint").dropDuplicates(["cid"]), "texts")
+    points = met.select(F.col("slot").alias("at"), F.explode("members").alias("cid")).distinct().join(
+        classes.select("cid", "vector", "n"), "cid").select(F.col("at").alias("slot"), "cid", "vector", "n",
+                                                            F.col("cid").alias("part"))
+    places = stored(met.groupBy("slot").cogroup(points.groupBy("slot")).applyInPandas(
+        _possible, "slot bigint, cid bigint"), "places")
+    met = met.join(places.select("slot").distinct(), "slot", "left_semi")
+    # only what has a candidate goes on
+    wanted = stored(places.select("cid").distinct().join(
+        classes.select("cid", "least", "one", "vector", "n"), "cid"), "wanted")
+    texts = stored(wanted.select("cid", "least", "one").alias("w").join(
+        only(docs.select("doc_id", "text"), wanted.select("least")).alias("d"), F.col("w.least").eqNullSafe(F.col("d.doc_id"))).select(
+            "cid", "text", "one").mapInArrow(_own_class, "cid bigint, text string").dropDuplicates(["cid"]), "texts")
     links = spark.createDataFrame([], "a bigint, b bigint")
     tested, roots, most, spanning = links, spark.createDataFrame([], "node bigint, root bigint"), 1, True
     while True:
-        points = places.join(texts.select("cid", "vector", "n"), "cid").join(
+        points = places.join(wanted.select("cid", "vector", "n"), "cid").join(
             roots, F.col("cid") == F.col("node"), "left").select(
                 "slot", "cid", "vector", "n", F.coalesce("root", "cid").alias("part"))
         likely = stored(met.groupBy("slot").cogroup(points.groupBy("slot")).applyInPandas(
@@ -399,7 +446,7 @@ def join(docs: DataFrame) -> DataFrame:
         new = stored(likely.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
         if new.limit(1).count():
             tested = stored(tested.union(new), "tested")
-            links = stored(links.union(linked(new, texts.select("cid", "text"))), "links")
+            links = stored(links.union(linked(new, texts)), "links")
             roots = connected(links)
         elif not spanning and not likely.filter("more").limit(1).count():
             break

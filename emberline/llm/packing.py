@@ -28,6 +28,8 @@ SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
           "sequence_id bigint, offset bigint")
 _KNOWN_WORDS = 700_000
 _JOINED = 1000
+#: Stretches are told apart per chunk: larger ones repeat more.
+CHUNK_BYTES = 1 << 21
 _LETTER = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
 _OTHER_ASCII = np.array([b < 128 and not _LETTER[b] and b not in b" \t\n\r\x0b\x0c" for b in range(256)])
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
@@ -250,7 +252,7 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 1, window: int = WINDOW,
         words, levels, out = _vocabulary(definition.value), Levels(window), _Output(TaskContext.get().partitionId())
         for batch in batches:
             docs = batch.column(0).to_pylist()
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(1), CHUNK_BYTES):
                 flat, bounds = words.ids(chunk)
                 for i, doc in enumerate(docs[chunk.first:chunk.last]):
                     ids = np.append(flat[bounds[i]:bounds[i + 1]], np.uint32(end))

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 #: The same word definition for Spark and DuckDB regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.Philox(20240229))
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
