@@ -1,4 +1,4 @@
-"""The registered queries of the training-data operators, and their SQL where there is any."""
+"""The registered queries of the training-data operators; their SQL is in ``oracle``."""
 
 from __future__ import annotations
 
@@ -8,17 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from emberline.llm import digest, jaccard, katz, mixing, packing, permutation, quality, secret_scan, substrings, toxicity
+from emberline.llm.components import small_batches
 from emberline.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
+        small_batches(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run
@@ -35,9 +36,6 @@ def op1_secret_scan(spark, sf_dir):
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
-ORACLE["op1_secret_scan"] = secret_scan.scan_sql()
-
-
 @query
 def op4_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))

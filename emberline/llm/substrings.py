@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.components import stored
+from emberline.llm.bitset import only
+from emberline.llm.components import frees_shuffles, stored
 from emberline.llm.fmindex import FMIndex, repeated
 from emberline.llm.text import Chunk, chunks, mix, runs
 
@@ -362,6 +363,7 @@ def _removed(rows: pd.DataFrame) -> pd.DataFrame:
 _SPANS = "cid bigint, starts binary, ends binary"
 
 
+@frees_shuffles
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (of the words left, joined by spaces) per row of ``docs``.
 
@@ -389,7 +391,7 @@ def dedup(docs: DataFrame) -> DataFrame:
         shared = shared.union(lists.mapInArrow(_holders(hot), "cid bigint, hashes binary"))
     shared = stored(shared.groupBy("cid").agg(F.collect_list("hashes").alias("hashes")), "shared")
     wanted = stored(shared.join(classes.select("cid", "least", "one", "two"), "cid"), "wanted")
-    texts = stored(wanted.alias("w").join(docs.select("doc_id", "text").alias("d"), F.col("w.least").eqNullSafe(
+    texts = stored(wanted.alias("w").join(only(docs.select("doc_id", "text"), wanted.select("least")).alias("d"), F.col("w.least").eqNullSafe(
         F.col("d.doc_id"))).select("cid", "text", "one", "two", "hashes").mapInArrow(
             _own_class, "cid bigint, text string, hashes array<binary>").dropDuplicates(["cid"]), "texts")
     anchored = shared.agg(F.sum(F.aggregate("hashes", F.lit(0).cast("bigint"), lambda n, h: n + F.length(h)))).first()[0]

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberline.llm.components import frees_shuffles
 from emberline.llm.text import PLAIN, Chunk, chunks
 from emberline.session import scratch_path
 
@@ -137,6 +138,7 @@ def fit_ordinal(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grade
     return raw[:width], raw[width] + np.concatenate([[0], np.cumsum(np.exp(raw[width + 1:]))])
 
 
+@frees_shuffles
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of the labelled documents; without both kinds, nothing is toxic."""
     spark = docs.sparkSession
