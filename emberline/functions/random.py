@@ -65,11 +65,13 @@ def poisson(key: str, stream: str, mean: float, seed: int = 42) -> Column:
     """Inverse transform: how many cumulative probabilities the draw exceeds."""
     term, total, cumulative = math.exp(-mean), 0.0, []
     k = 0
-    while total < 1.0 - 1e-15 and k < 10 * mean + 60:
+    while total + term > total or k < mean:
         total += term
         cumulative.append(total)
         k += 1
         term *= mean / k
+    # what rounding leaves out belongs to the last value
+    cumulative[-1] = 1.0
     table = ", ".join(f"double('{p!r}')" for p in cumulative)
     return F.expr(f"size(filter(array({table}), p -> p < {_unit(key, stream, seed)}))")
 
