@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: The pivots are the only sample: this many rows, by hash of their id.
+#: The pivots are the only sample: far-apart vectors out of SAMPLED times as many rows, the first by hash of their id.
 PIVOTS = 256
+SAMPLED = 8
 POSTED = 128
 RERANK = 0.12
 SHARD_ROWS = 8192
@@ -34,15 +35,26 @@ def usable(vectors: DataFrame) -> DataFrame:
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite & nonzero)
 
 
+def spread_out(sample: np.ndarray, count: int) -> np.ndarray:
+    """Rows taken one by one, each the farthest from those taken; a crowd of near copies gives one."""
+    chosen, far = [0], ((sample - sample[0]) ** 2).sum(1)
+    while len(chosen) < min(count, len(sample)):
+        chosen.append(int(np.argmax(far)))
+        far = np.minimum(far, ((sample - sample[chosen[-1]]) ** 2).sum(1))
+    return sample[chosen]
+
+
 class Shard:
-    """Vectors of one length with their inverted files, one row of places per pivot."""
+    """Vectors of one length with their inverted files, one row of places per pivot. Equal vectors are one entry."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, posted: int):
-        self.ids, self.vectors, self.pivots = ids, vectors, pivots
-        self.posted = min(posted, len(pivots))
-        self.places = np.full((len(pivots), len(ids)), self.posted, np.int16)
-        order = self.order(vectors)
-        self.places[order, np.arange(len(ids))[:, None]] = np.arange(self.posted, dtype=np.int16)
+        self.vectors, entry = np.unique(vectors, axis=0, return_inverse=True)
+        order = np.lexsort((ids, entry))
+        self.ids, self.starts = ids[order], np.searchsorted(entry[order], np.arange(len(self.vectors) + 1))
+        self.pivots, self.posted = pivots, min(posted, len(pivots))
+        self.places = np.full((len(pivots), len(self.vectors)), self.posted, np.int16)
+        order = self.order(self.vectors)
+        self.places[order, np.arange(len(self.vectors))[:, None]] = np.arange(self.posted, dtype=np.int16)
 
     def order(self, vectors: np.ndarray) -> np.ndarray:
         """Nearest pivots of each vector, nearest first."""
@@ -52,13 +64,19 @@ class Shard:
     def search(self, query_id: int, query: np.ndarray, order: np.ndarray, k: int, rerank: float):
         own = np.arange(self.posted, dtype=np.int16)[:, None]
         footrule = np.abs(self.places[order] - own).sum(0, dtype=np.int32)
-        wanted = min(len(self.ids), max(8 * k, math.ceil(rerank * len(self.ids))))
+        wanted = min(len(self.vectors), max(8 * k, math.ceil(rerank * len(self.vectors))))
         # all that tie with the last one wanted are measured too
         near = np.flatnonzero(footrule <= np.partition(footrule, wanted - 1)[wanted - 1])
-        near = near[self.ids[near] != query_id]
         score = np.sqrt(((self.vectors[near] - query) ** 2).sum(1))
-        best = np.lexsort((self.ids[near], score))[:k]
-        return self.ids[near[best]], score[best]
+        last = min(k, len(near) - 1)
+        close = np.flatnonzero(score <= np.partition(score, last)[last])
+        # of equal vectors, the first ids are enough (one may be the query's own)
+        size = np.minimum(np.diff(self.starts)[near[close]], k + 1)
+        at = np.repeat(self.starts[near[close]] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        ids, score = self.ids[at], np.repeat(score[close], size)
+        ids, score = ids[ids != query_id], score[ids != query_id]
+        best = np.lexsort((ids, score))[:k]
+        return ids[best], score[best]
 
 
 def _search(pivots, k: int, posted: int, rerank: float):
@@ -105,12 +123,12 @@ def neighbours(vectors: DataFrame, every: int = 100, k: int = 10, pivots: int =
     good = usable(vectors)
     lengths = good.withColumn("length", F.size("embedding"))
     chosen = Window.partitionBy("length").orderBy(F.xxhash64("vec_id"), "vec_id", "embedding")
-    sample = lengths.withColumn("at", F.row_number().over(chosen)).filter(F.col("at") <= pivots)
-    by_length: dict[int, list] = {}
-    for row in sample.select("length", "embedding").collect():
-        by_length.setdefault(row.length, []).append(row.embedding)
+    sample = lengths.withColumn("at", F.row_number().over(chosen)).filter(F.col("at") <= SAMPLED * pivots)
+    by_length: dict[int, dict] = {}
+    for row in sample.orderBy("at").select("length", "embedding").collect():
+        by_length.setdefault(row.length, {}).setdefault(tuple(row.embedding))
     held = vectors.sparkSession.sparkContext.broadcast(
-        {length: np.unique(np.array(rows), axis=0) for length, rows in by_length.items()})
+        {length: spread_out(np.array(list(rows)), pivots) for length, rows in by_length.items()})
     shards = max(1, math.ceil(good.count() / shard_rows))
     placed = good.select(F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(shards)).alias("shard"),
                          F.lit(False).alias("asks"), "vec_id", "embedding")

@@ -44,6 +44,18 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * 10 * len(expected)
 
 
+def test_many_copies_take_no_place_from_others(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(900)]
+    rows += [(i, rows[5][1]) for i in range(900, 1500)]
+    got = permutation.neighbours(frame(spark, rows), every=20, shard_rows=400).collect()
+    expected = brute(rows, 20, 10)
+    by_query = {q: {r.vec_id for r in got if r.query_id == q} for q in expected}
+    hits = sum(len(by_query[q] & {i for i, _ in found}) for q, found in expected.items())
+    assert hits >= 0.95 * 10 * len(expected)
+    assert all(by_query[q] == {i for i, _ in expected[q]} for q in expected if q >= 900)
+
+
 def test_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]),
