@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from emberline.llm.bitset import only
 from emberline.llm.components import connected, frees_shuffles, stored
-from emberline.llm.text import Chunk, chunks, mix, runs
+from emberline.llm.text import Chunk, chunks, mix, release_memory, runs
 
 WORDS = 5
 GROUPS = 256
@@ -202,6 +202,7 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
                 met = np.sort(met)
                 out.append((int(mix(met.view(np.uint64)).sum(dtype=np.uint64).view(np.int64)), int(met[0]),
                             met.tolist()))
+    release_memory()
     return pd.DataFrame(out, columns=["digest", "least", "members"])
 
 
@@ -295,8 +296,11 @@ class _Slot:
         self.vectors = unpacked(points["vector"].tolist())
         self.met = met["members"]
 
-    def candidates(self, spanning: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Pairs of points in different components that reach the bound, and by how much; some more than once."""
+    def candidates(self, spanning: bool, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:
+        """Pairs of points in different components that reach the bound, and by how much; some more than once.
+
+        Large sets all of whose points are ``known`` are left out.
+        """
         small_a, small_b = [], []
         for members in self.met:
             own = np.searchsorted(self.ids, np.asarray(members, np.int64))
@@ -309,6 +313,8 @@ class _Slot:
                 small_a.append(own[a])
                 small_b.append(own[b])
                 continue
+            if known is not None and known[own].all():
+                continue
             tree = CountTree(self.vectors[own], self.sizes[own], self.parts[own])
             for a, b in tree.candidates(spanning):
                 ok, spare = passing(tree.points, tree.sizes, a, b)
@@ -327,7 +333,7 @@ def _possible(met: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
     """The points that have any candidate at all."""
     slot = _Slot(met, points)
     marked = np.zeros(len(slot.ids), bool)
-    for a, b, _ in slot.candidates(spanning=False):
+    for a, b, _ in slot.candidates(spanning=False, known=marked):
         marked[a] = marked[b] = True
     return pd.DataFrame({"slot": met["slot"].iloc[0] if len(met) else 0, "cid": slot.ids[marked]})
 

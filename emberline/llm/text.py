@@ -6,6 +6,7 @@ handled as UTF-8 bytes, so all positions here are byte positions.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -22,6 +23,7 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _RADIX = 0x9E3779B97F4A7C15 | 1
 _PLACE = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _WORD = np.ones(256, bool)
 _WORD[[9, 10, 11, 12, 13, 32]] = False
 #: ASCII letters and digits and all of what is beyond ASCII.
@@ -99,6 +101,14 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES, inside: np.ndarray = _WOR
         last = max(first + 1, int(np.searchsorted(where, where[first] + limit, "right")) - 1)
         yield _cut(first, last, whole[where[first]:where[last]], where[first:last + 1] - where[first], inside)
         first = last
+    release_memory()
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: workers stay, idle, when their task is done."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def _cut(first: int, last: int, data: np.ndarray, bounds: np.ndarray, kinds: np.ndarray) -> Chunk:
