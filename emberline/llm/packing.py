@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from emberline.llm.text import Chunk, chunks
+from emberline.llm.text import Chunk, chunks, release_memory
 
 WINDOW = 2048
 OPEN_WINDOWS = 2048
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
-_KNOWN_WORDS = 700_000
+_KNOWN_WORDS = 400_000
 _JOINED = 1000
 #: Stretches are told apart per chunk: larger ones repeat more.
 CHUNK_BYTES = 1 << 21
@@ -270,5 +270,8 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 1, window: int = WINDOW,
         for pieces in levels.settle():
             out.add(pieces)
         yield out.batch()
+        # the worker may stay, idle, for other work
+        words.forget()
+        release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
