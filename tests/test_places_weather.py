@@ -55,14 +55,17 @@ def test_batch_replies(spark):
     bare = '{"current":{"temperature_2m":9,"relative_humidity_2m":8,"wind_speed_10m":7}}'
     rows = [(0, list("abcdef"), body), (1, ["z"], bare), (2, ["x"], "erro"), (3, ["y"], None)]
     landed = spark.createDataFrame(rows, "lote int, ids array<string>, corpo string")
-    found = {r[0]: tuple(r)[1:] for r in sw.parse_batches(landed).collect()}
+    parsed = sw.parse_batches(landed)
+    found = {r[0]: tuple(r)[1:] for r in parsed.drop("ordinal").collect()}
+    assert [r[0] for r in parsed.orderBy("ordinal").collect()] == ["a", "e", "z"]
     assert found == {"a": (30.5, 40.0, 3.0, 0.0), "e": (1.0, 2.0, 3.0, 4.0), "z": (9.0, 8.0, 7.0, 0.0)}
 
 
 def test_single_replies(spark):
     rows = [("a", '{"main":{"temp":30,"humidity":50},"wind":{"speed":10},"rain":{"1h":2.5}}'),
             ("b", '{"main":{"temp":30,"humidity":50}}'), ("c", '{"main":{"temp":30}}'), ("d", "nada"), ("e", None)]
-    found = {r[0]: tuple(r)[1:] for r in sw.parse_single(spark.createDataFrame(rows, "id_externo string, corpo string")).collect()}
+    found = {r[0]: tuple(r)[1:] for r in sw.parse_single(
+        spark.createDataFrame(rows, "id_externo string, corpo string")).drop("ordinal").collect()}
     assert found == {"a": (30.0, 50.0, 36.0, 2.5), "b": (30.0, 50.0, 0.0, 0.0)}
 
 
