@@ -243,6 +243,8 @@ class CountTree:
         """Pairs of leaves whose boxes can reach the bound, level by level from the root."""
         pairs, before = [(0, 0)], self.levels[0]
         for spans in self.levels[1:] or [self.levels[0]]:
+            if not pairs:
+                break
             below = {span: [i for i, s in enumerate(spans) if span[0] <= s[0] and s[1] <= span[1]] for span in before}
             most, least_size, most_size, least_part, most_part = self.boxes(spans)
             next_pairs = sorted({(min(i, j), max(i, j)) for p, q in pairs for i in below[before[p]]

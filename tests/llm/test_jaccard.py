@@ -104,3 +104,11 @@ def test_tree_loses_no_pair():
     linked = {(i, j) for j in range(400) for i in range(j)
               if 9 * len(np.intersect1d(sets[i], sets[j])) >= 4 * (len(sets[i]) + len(sets[j]))}
     assert linked and linked <= found and len(found) < 400 * 399 / 4
+
+
+def test_tree_of_two_components_that_cannot_link():
+    rng = np.random.default_rng(8)
+    points, parts = np.zeros((40, jaccard.GROUPS), np.uint16), np.repeat([0, 1], 20)
+    points[:20, :128], points[20:, 128:] = rng.integers(3, 5, (20, 128)), rng.integers(3, 5, (20, 128))
+    tree = jaccard.CountTree(points, points.sum(1, dtype=np.int64), parts)
+    assert len(tree.levels) == 3 and tree.meeting_leaves() == [] and not list(tree.candidates(spanning=False))
