@@ -111,6 +111,27 @@ def _search(pivots, k: int, posted: int, rerank: float):
     return run
 
 
+def first_by_hash(lengths: DataFrame, many: dict[int, int], wanted: int) -> DataFrame:
+    """The first ``wanted`` rows of each length by hash of the id, with their place ``at``.
+
+    Only rows below a bound on the hash are shuffled, about four times as many as are wanted; where too few lie below it,
+    as when an id repeats, it is raised.
+    """
+    spark, shares = lengths.sparkSession, {length: 4 * wanted / n for length, n in many.items()}
+    chosen = Window.partitionBy("length").orderBy("hash", "vec_id", "embedding")
+    hashed = lengths.withColumn("hash", F.xxhash64("vec_id"))
+    while True:
+        bounds = spark.createDataFrame([(length, min(2 ** 63 - 1, int(share * 2 ** 64) - 2 ** 63))
+                                        for length, share in shares.items()], "length int, bound bigint")
+        below = hashed.join(F.broadcast(bounds), "length").filter("hash <= bound")
+        found = {r.length: r["count"] for r in below.groupBy("length").count().collect()}
+        short = [length for length, share in shares.items() if share < 1 and found.get(length, 0) < wanted]
+        if not short:
+            return below.withColumn("at", F.row_number().over(chosen)).filter(F.col("at") <= wanted)
+        for length in short:
+            shares[length] *= 8
+
+
 def neighbours(vectors: DataFrame, every: int = 100, k: int = 10, pivots: int = PIVOTS, posted: int = POSTED,
                rerank: float = RERANK, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id and score: the ``k`` nearest found for each row whose vec_id ``every`` divides.
@@ -122,14 +143,14 @@ def neighbours(vectors: DataFrame, every: int = 100, k: int = 10, pivots: int =
     """
     good = usable(vectors)
     lengths = good.withColumn("length", F.size("embedding"))
-    chosen = Window.partitionBy("length").orderBy(F.xxhash64("vec_id"), "vec_id", "embedding")
-    sample = lengths.withColumn("at", F.row_number().over(chosen)).filter(F.col("at") <= SAMPLED * pivots)
+    many = {r.length: r["count"] for r in lengths.groupBy("length").count().collect()}
+    sample = first_by_hash(lengths, many, SAMPLED * pivots)
     by_length: dict[int, dict] = {}
     for row in sample.orderBy("at").select("length", "embedding").collect():
         by_length.setdefault(row.length, {}).setdefault(tuple(row.embedding))
     held = vectors.sparkSession.sparkContext.broadcast(
         {length: spread_out(np.array(list(rows)), pivots) for length, rows in by_length.items()})
-    shards = max(1, math.ceil(good.count() / shard_rows))
+    shards = max(1, math.ceil(sum(many.values()) / shard_rows))
     placed = good.select(F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(shards)).alias("shard"),
                          F.lit(False).alias("asks"), "vec_id", "embedding")
     asked = (good.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))

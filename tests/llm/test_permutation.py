@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from emberline.llm import permutation
 
@@ -74,3 +75,18 @@ def test_small_tables_are_searched_whole(spark):
     expected = brute(rows, 7, 5)
     assert {(r.query_id, r["rank"], r.vec_id) for r in got} == {
         (q, n + 1, i) for q, found in expected.items() for n, (i, _) in enumerate(found)}
+
+
+def test_pivot_sample_is_the_first_by_hash_and_shuffles_little(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(3_000)] + [(7, [float(i), 2.0]) for i in range(900)]
+    rows += [(i, [1.0, 2.0, float(i)]) for i in range(30)]
+    lengths = permutation.usable(frame(spark, rows)).withColumn("length", F.size("embedding"))
+    order = [F.xxhash64("vec_id"), "vec_id", "embedding"]
+    for wanted in (5, 100, 2_500):
+        sample = permutation.first_by_hash(lengths, {2: 3_900, 3: 30}, wanted)
+        got = [tuple(r) for r in sample.orderBy("length", "at").select("length", "vec_id", "embedding").collect()]
+        expected = [tuple(r) for n in (2, 3) for r in lengths.filter(F.col("length") == n).orderBy(*order).limit(wanted)
+                    .select("length", "vec_id", "embedding").collect()]
+        assert got == expected
+    plan = permutation.first_by_hash(lengths, {2: 3_900, 3: 30}, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bound" in plan.split("Window")[-1]
