@@ -190,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     weights, thresholds = fit_ordinal(at, columns, values, grades, len(features))
     model = Model(features, weights, thresholds)
     clean = 1 - model.grades(np.bincount(at, values * weights[columns], len(rows)))[~is_toxic, 0]
-    model.limit = float(np.clip(np.quantile(clean, 1 - CLEAN_LOSS), 0.1, 0.5))
+    model.limit = float(max(np.quantile(clean, 1 - CLEAN_LOSS), 0.1))
     return model
 
 

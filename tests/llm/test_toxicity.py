@@ -64,3 +64,11 @@ def test_without_labels_nothing_is_toxic(spark, make):
         assert len(rows) == 2 and not any(r.toxic for r in rows)
     model = toxicity.fit(make([]), labels)
     assert toxicity.severity(make([]), model).count() == 0
+
+
+def test_limit_spares_other_documents_where_classes_overlap(spark, make):
+    docs = make([(i, "the same words for all") for i in range(40)])
+    labels = spark.createDataFrame([(i, 1, int(i < 30)) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    rows = toxicity.severity(docs, model).collect()
+    assert model.limit > 0.5 and not any(r.toxic for r in rows if r.doc_id >= 30)
