@@ -228,7 +228,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The next document has the next smaller doc_id (null last; equal ids by text, greatest first),
     after the last comes the first, so a single one follows itself. The edit puts the start of
     the next text in place of the last half. Null texts are empty; an empty text has an empty
-    fingerprint, like only to another empty one. An empty table gives no rows.
+    fingerprint, and so has a text of 64 bytes or more whose windows are all near-constant runs: any two of
+    these count as alike. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(rarity(docs))
