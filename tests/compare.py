@@ -35,7 +35,7 @@ def _cell(value):
     return (2, str(value))
 
 
-_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 def _sorted(columns, rows):
