@@ -1,4 +1,4 @@
-"""DuckDB SQL for the training-data queries that SQL can express, over the table ``documents``."""
+"""DuckDB SQL for the training-data queries that SQL can express, over ``documents`` and ``embeddings``."""
 
 from __future__ import annotations
 
@@ -38,8 +38,28 @@ left_over AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(g, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN left_over USING (r)"""
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS l,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.r AS a, b.r AS b, a.vec_id AS anchor_id, b.vec_id AS other_id, a.l = b.l AS same,
+         CAST(list_inner_product(a.c, b.c) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.c) = len(b.c)),
+p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, other_id NULLS LAST) <= 5),
+n AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.other_id NULLS LAST) AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
 ORACLE = {
     "op1_secret_scan": secret_scan.scan_sql(),
     "op2_jaccard_join": JACCARD_JOIN,
     "op9_substring_dedup": SUBSTRING_DEDUP,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import digest, jaccard, katz, mixing, packing, periodic, permutation, quality, secret_scan
-from emberline.llm import substrings, toxicity
+from emberline.llm import digest, jaccard, katz, mixing, negatives, packing, periodic, permutation, quality
+from emberline.llm import secret_scan, substrings, toxicity
 from emberline.llm.components import small_batches
 from emberline.session import ship_package
 
@@ -84,6 +84,11 @@ def op7_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_hard_negatives(spark, sf_dir):
+    return negatives.mine(negatives.shifted(table(spark, sf_dir, "embeddings")))
+
+
 @query
 def op13_periodic_runs(spark, sf_dir):
     return periodic.summary(periodic.find(table(spark, sf_dir, "documents"), periodic.looped))
