@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import digest, jaccard, katz, mixing, negatives, packing, periodic, permutation, quality
-from emberline.llm import secret_scan, substrings, toxicity
+from emberline.llm import digest, jaccard, katz, mixing, negatives, packing, periodic, permutation
+from emberline.llm import personal, quality, secret_scan, substrings, toxicity
 from emberline.llm.components import small_batches
 from emberline.session import ship_package
 
@@ -89,6 +89,12 @@ def op11_hard_negatives(spark, sf_dir):
     return negatives.mine(negatives.shifted(table(spark, sf_dir, "embeddings")))
 
 
+@query
+def op12_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return personal.summary(personal.scan(docs, personal.fit(docs)))
+
+
 @query
 def op13_periodic_runs(spark, sf_dir):
     return periodic.summary(periodic.find(table(spark, sf_dir, "documents"), periodic.looped))
