@@ -473,5 +473,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows that share a doc_id stay or go together; rows without one stay.
     """
-    gone = stored(join(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = stored(join(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    # the row travels as one struct, so that no column of it can clash
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id")).join(gone, "id", "left_anti").select("row.*")

@@ -112,3 +112,14 @@ def test_tree_of_two_components_that_cannot_link():
     points[:20, :128], points[20:, 128:] = rng.integers(3, 5, (20, 128)), rng.integers(3, 5, (20, 128))
     tree = jaccard.CountTree(points, points.sum(1, dtype=np.int64), parts)
     assert len(tree.levels) == 3 and tree.meeting_leaves() == [] and not list(tree.candidates(spanning=False))
+
+
+def test_clashing_columns_stay(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    columns = ["_gone", "id", "row", "cid", "slot", "one", "n"]
+    docs = spark.createDataFrame([(i, t, *columns) for i, t in ((5, text), (3, text), (None, text), (9, "other"))],
+                                 "doc_id bigint, text string, " + ", ".join(f"`{c}` string" for c in columns))
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r._gone, r.row) for r in kept.collect()) == [
+        ("3", "_gone", "row"), ("9", "_gone", "row"), ("None", "_gone", "row")]
