@@ -93,7 +93,8 @@ def _search(pivots, k: int, posted: int, rerank: float):
                 if own != key:
                     key, ids, rows, shard = own, [], [], None
                 if not asks:
-                    if not ids or ids[-1] != vec_id:
+                    # rows come by id, then by vector: equal ones follow each other
+                    if not ids or ids[-1] != vec_id or not np.array_equal(rows[-1], row):
                         ids.append(vec_id)
                         rows.append(row)
                     continue
@@ -138,8 +139,9 @@ def neighbours(vectors: DataFrame, every: int = 100, k: int = 10, pivots: int =
 
     Needs vec_id and embedding. Rows without an id, and vectors that are null, zero or hold null or
     non-finite numbers, take no part; vectors are compared with those of their own length. Where
-    a vec_id repeats, its first vector in array order counts. Ties go to the smaller vec_id, a query with
-    fewer than ``k`` others gets all, and an empty table gives no rows.
+    a vec_id repeats, each of its different vectors is a candidate, equal ones are one, and a query asks with the first in
+    array order for rows of other ids. Ties go to the smaller vec_id, a query with
+    fewer than ``k`` others gets all, an empty table gives no rows, and other columns take no part, whatever their names.
     """
     good = usable(vectors)
     lengths = good.withColumn("length", F.size("embedding"))

@@ -90,3 +90,9 @@ def test_pivot_sample_is_the_first_by_hash_and_shuffles_little(spark):
         assert got == expected
     plan = permutation.first_by_hash(lengths, {2: 3_900, 3: 30}, 5)._jdf.queryExecution().optimizedPlan().toString()
     assert "bound" in plan.split("Window")[-1]
+
+
+def test_repeated_ids_are_candidates_with_each_vector(spark):
+    rows = [(1, [0.0, 1.0]), (1, [5.0, 5.0]), (2, [5.0, 5.5]), (100, [5.0, 5.0]), (1, [5.0, 5.0])]
+    got = [(r["rank"], r.vec_id, r.score) for r in permutation.neighbours(frame(spark, rows)).orderBy("rank").collect()]
+    assert got == [(1, 1, 0.0), (2, 2, 0.5), (3, 1, 41 ** 0.5)]
