@@ -80,7 +80,10 @@ def _sliding_least(keys: np.ndarray) -> np.ndarray:
 
 
 def features(texts: Sequence[bytes], ranks: np.ndarray) -> list[np.ndarray]:
-    """Hashes of each text's features, in order, each once. A text shorter than a window is one itself."""
+    """Hashes of each text's features, in order, each once.
+
+    A text shorter than a window is one itself, and so is one whose windows are all near-constant runs.
+    """
     out: list[np.ndarray] = []
     data, starts = join_texts(texts)
     lengths = np.array([len(t) for t in texts])
@@ -98,10 +101,10 @@ def features(texts: Sequence[bytes], ranks: np.ndarray) -> list[np.ndarray]:
     else:
         hashed, cuts = np.empty(0, np.uint64), np.zeros(len(texts) + 1, int)
     for i, text in enumerate(texts):
-        if 0 < len(text) < SPAN:
+        own = hashed[cuts[i]:cuts[i + 1]]
+        if text and not len(own):
             out.append(np.frombuffer(hashlib.blake2b(text, digest_size=8).digest(), np.uint64))
             continue
-        own = hashed[cuts[i]:cuts[i + 1]]
         out.append(own[np.sort(np.unique(own, return_index=True)[1])])
     return out
 
@@ -227,9 +230,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     The next document has the next smaller doc_id (null last; equal ids by text, greatest first),
     after the last comes the first, so a single one follows itself. The edit puts the start of
-    the next text in place of the last half. Null texts are empty; an empty text has an empty
-    fingerprint, and so has a text of 64 bytes or more whose windows are all near-constant runs: any two of
-    these count as alike. An empty table gives no rows.
+    the next text in place of the last half. Null texts are empty; an empty text alone has an empty
+    fingerprint, and two of them are alike. Texts are read whole, whatever their length; rows that repeat come out each; an
+    empty table gives no rows; other columns take no part, whatever their names.
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(rarity(docs))
