@@ -88,3 +88,34 @@ def test_apply_repeats_rows(make):
         got[r.doc_id] += 1
         assert r.text == rows[r.doc_id][1] and r["size"] == "s"
     assert got == {d: c for d, c in copies.items() if c}
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_repeated_rows_come_near_the_target(make, doc_id):
+    rows = [(doc_id, "w " * 100, "a")] * 200 + [(1000 + i, "v " * 100, "b") for i in range(100)]
+    got = check(rows, make(rows))
+    copies = sorted(r.copies for r in got if r.source == "a")
+    assert copies[-1] - copies[0] == 1
+    out = defaultdict(int)
+    for r in mixing.apply(make(rows)).collect():
+        out[r.source] += 100
+    assert out == {s: sum(r.taken for r in got if r.source == s) for s in "ab"}
+
+
+def test_apply_takes_some_of_rows_that_differ_elsewhere(spark):
+    rows = [(1, "a b c", "x", i % 3, "c", "n") for i in range(30)] + [(i, "a b c", "y", 0, "c", "n") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, copies int, _copy string, _n string")
+    mixed = mixing.mix(docs).collect()
+    out = mixing.apply(docs)
+    assert out.columns == docs.columns
+    got = defaultdict(int)
+    for r in out.collect():
+        got[r.source] += 1
+    assert got == {s: sum(r.copies for r in mixed if r.source == s) for s in "xy"}
+    assert sorted(out.collect()) == sorted(mixing.apply(docs.repartition(3)).collect())
+
+
+def test_long_lists_of_copies(make, monkeypatch):
+    monkeypatch.setattr(mixing, "LISTED", 7)
+    rows = [(1, "a b", "x")] * 50 + [(2, "a b c", "y")] * 15
+    assert len(check(rows, make(rows))) == 65
