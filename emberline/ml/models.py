@@ -6,17 +6,17 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberline.ml import boosting
 from emberline.ml.evaluate import classification_metrics, leaderboard
 from emberline.ml.prep import RiskPrep
 from emberline.schemas import CATEGORICAL, CONTINUOUS, FLAGS, LABEL
-from emberline.session import shared_folder, spread
+from emberline.session import spread
 
 FOREST, BOOSTING, NETWORK = "Random Forest", "Gradient Boosting", "Rede Neural (MLP)"
 #: Where each saved model lies.
@@ -62,19 +62,14 @@ def classifier(name: str, inputs: int, settings: Settings = Settings()):
     if name == FOREST:
         return RandomForestClassifier(numTrees=settings.trees, maxDepth=settings.tree_depth,
                                       featureSubsetStrategy="sqrt", maxMemoryInMB=512, **common)
-    if name == BOOSTING:
-        # long lineage: cut by checkpoints in the shared folder
-        return GBTClassifier(maxIter=settings.rounds, maxDepth=settings.round_depth, stepSize=settings.step,
-                             checkpointInterval=10, maxMemoryInMB=512, **common)
     if name == NETWORK:
         return MultilayerPerceptronClassifier(layers=[inputs, *settings.hidden, 2], maxIter=settings.epochs, **common)
     raise ValueError(name)
 
 
 def fit_classifier(name: str, prepared: DataFrame, inputs: int, settings: Settings = Settings()):
-    spark = prepared.sparkSession
-    if name == BOOSTING and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    if name == BOOSTING:
+        return boosting.fit(prepared, LABEL, settings.rounds, settings.round_depth, settings.step, seed=settings.seed)
     return classifier(name, inputs, settings).fit(prepared)
 
 
