@@ -17,6 +17,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,6 +136,39 @@ def _narrow(table: DataFrame, spans: list[_Span], found: dict[tuple[str, int], f
     return narrowed
 
 
+#: Steps an open span is cut into per row range it should give, and the least number.
+FINENESS = 4
+LEAST_STEPS = 16
+
+
+def _steps_of(table: DataFrame, spans: Sequence[tuple[int, float, float]], rows: int) -> list[tuple[int, float, float]]:
+    """(rows, least, greatest) of the steps of all (size, least, most) spans, which lie apart and in order.
+
+    A row finds its span by binary search among the ends of all, and the span's own ends by a join; no
+    expression grows with the number of spans.
+    """
+    spark = table.sparkSession
+    ends = sorted({end for _, least, most in spans for end in (least, math.nextafter(most, math.inf))} - {math.inf})
+    opens = {least: (least, most, min(STEPS * STEPS, max(LEAST_STEPS, math.ceil(FINENESS * size / rows))))
+             for size, least, most in spans}
+    bounds = spark.createDataFrame([(float(i), *map(float, opens[end][:2]), opens[end][2]) for i, end in enumerate(ends)
+                                    if end in opens], "_span double, _least double, _most double, _steps int")
+    if len(ends) > 1:
+        splits = [*ends, math.inf] if ends[0] == -math.inf else [-math.inf, *ends, math.inf]
+        placed = Bucketizer(splits=splits, inputCol="v", outputCol="_span").transform(table)
+        placed = placed.withColumn("_span", F.col("_span") - float(ends[0] != -math.inf))
+    else:
+        placed = table.withColumn("_span", F.lit(0.0))
+    low, high = (f"greatest(least({end}, {_LARGEST}D), -{_LARGEST}D) / 2" for end in ("_least", "_most"))
+    between = f"floor(nanvl((v / 2 - {low}) / ({high} - {low}), 0) * _steps)"
+    step = F.expr(f"case when v = _least then 0 when v = _most then _steps - 1 "
+                  f"else cast(least(greatest({between}, 1), _steps - 2) as int) end")
+    # as many rows as row ranges, times a constant
+    counted = placed.join(bounds, "_span").groupBy("_span", step.alias("_step")).agg(
+        F.count(F.lit(1)), F.min("v"), F.max("v"))
+    return [tuple(row)[2:] for row in counted.collect()]
+
+
 def cut_points(df: DataFrame, order: str, rows: int, ranges: int = 1) -> list[float]:
     """Values that cut a column into at least about ``ranges`` ranges of at most ``rows`` rows, single values apart;
     the first and last range are open."""
@@ -143,10 +177,10 @@ def cut_points(df: DataFrame, order: str, rows: int, ranges: int = 1) -> list[fl
     rows = max(1, min(rows, math.ceil(total / ranges)))
     if total <= rows or least == most:
         return []
-    spans, steps = [_Span("v", total, {}, least, most)], []
+    spans, steps = [(total, least, most)], []
     while spans:
-        found = [step for steps_of in _histograms(table, spans) for step in steps_of]
-        spans = [_Span("v", size, {}, low, high) for size, low, high in found if size > rows and low < high]
+        found = _steps_of(table, spans, rows)
+        spans = sorted((step for step in found if step[0] > rows and step[1] < step[2]), key=lambda step: step[1])
         steps += [step for step in found if step[0] <= rows or step[1] == step[2]]
     cuts, size = [], 0
     for count, low, _ in sorted(steps, key=lambda step: step[1]):

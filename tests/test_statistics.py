@@ -80,3 +80,17 @@ def test_running_sums_use_no_single_partition_sort(spark):
 def test_row_numbers(spark):
     df = spark.createDataFrame([(30.0,), (10.0,), (20.0,)], "k double")
     assert {r["k"]: r["posicao"] for r in ordered.number_rows(df, "k").collect()} == {10.0: 0, 20.0: 1, 30.0: 2}
+
+
+def test_many_cut_points_cost_no_more_than_few(spark):
+    values = np.random.default_rng(8).exponential(size=60_000) ** 3
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(4).cache()
+    cuts = order_stats.cut_points(df, "v", 20)
+    sizes = np.diff(np.concatenate([[0], np.searchsorted(np.sort(values), cuts), [len(values)]]))
+    assert sizes.max() <= 20 and 3_000 < len(cuts) < 6_000
+    mixed = [float("-inf")] * 30 + [float("inf")] * 50 + [1e308, -1e308] * 9 + [0.0] * 200 + list(range(90))
+    df = spark.createDataFrame([(float(v),) for v in mixed], "v double")
+    cuts = order_stats.cut_points(df, "v", 10)
+    sizes = np.diff(np.concatenate([[0], np.searchsorted(np.sort(mixed), cuts), [len(mixed)]]))
+    singles = {30, 50, 200, 201, 9}
+    assert all(n <= 10 or n in singles for n in sizes) and sizes.sum() == len(mixed)
