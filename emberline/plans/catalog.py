@@ -1007,6 +1007,40 @@ def stream_daily_counts(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def stream_daily_totals(spark, sf_dir):
+    """Every day, the newest too, in several micro-batches that each hold rows of all days."""
+    folder = scratch_path(spark, "events-in-parts")
+    fx.events(spark, sf_dir).repartition(4, "event_id").write.parquet(folder)
+    events = spark.readStream.schema(spark.read.parquet(folder).schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream = sd.standardise(fx.raw_detections(events))
+    store = scratch_path(spark, "daily-totals")
+    jobs.upsert_daily(stream, F.to_date("data"), store, scratch_path(spark, "checkpoint"))
+    return jobs.daily_totals(spark, store).withColumn("dia", F.col("dia").cast("string"))
+
+
+@query
+def stream_landing(spark, sf_dir):
+    """Daily files with two kinds of header, as they land, several at a time: parsed, treated and merged."""
+    landing = scratch_path(spark, "landing")
+    rows = _raw(spark, sf_dir).drop("seq", "ordinal").withColumns(
+        {"sensor": F.lit("VIIRS"), "date": F.col("acq_date")})
+    odd = F.dayofmonth(F.col("acq_date").cast("date")) % 2 == 1
+    other = rows.filter(odd).withColumnRenamed("bright_ti4", "brightness")
+    for part in (rows.filter(~odd), other.select(*reversed(other.columns))):
+        (part.repartition("date").write.mode("append").partitionBy("sensor", "date").option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(landing))
+    store = Warehouse(spark, scratch_path(spark, "landing-warehouse"))
+
+    def load(lines: DataFrame) -> None:
+        parsed = sd.parse_lines(lines)
+        if parsed is not None:
+            store.merge_detections(boxes.tag_places(clean.clean_detections(sd.standardise(parsed))))
+
+    jobs.ingest(sd.landing_stream(spark, landing, fx.AS_OF, files=9), load, scratch_path(spark, "checkpoint"))
+    return store.detections()
+
+
 @query
 def stream_scoring(spark, sf_dir):
     """The stream of model rows scored as it arrives equals the batch."""

@@ -575,5 +575,8 @@ path AS (
         GROUP BY data_foco HAVING CAST(data_foco AS TIMESTAMP) + INTERVAL 1 DAY <=
           (SELECT MAX(CAST(data_foco AS TIMESTAMP) + INTERVAL (CAST(hora[1:2] AS INTEGER)) HOUR
                       + INTERVAL (CAST(hora[3:4] AS INTEGER)) MINUTE) - INTERVAL 1 DAY FROM raw)"""),
+    "stream_daily_totals": _q(_RAW, """
+        SELECT CAST(data_foco AS VARCHAR) AS dia, COUNT(DISTINCT id_externo) AS focos_no_dia FROM raw GROUP BY data_foco"""),
+    "stream_landing": _q(_FACT, _plain_fact()),
     "stream_scoring": _q(_FACT, "SELECT COUNT(*) AS linhas, COUNT(*) AS iguais FROM fact"),
 }

@@ -5,8 +5,9 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable, Sequence
 from datetime import date, timedelta
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,40 +26,91 @@ CANONICAL_NAMES = {
 }
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    line = spark.read.text(path).first()
-    return tuple(next(csv.reader([line[0]]))) if line else ()
+_PATH_DAY = r"date=([0-9-]+)/[^/]*$"
+
+
+def _place(as_of: str) -> list[Column]:
+    """Day, file and block that a row was read from."""
+    age = F.datediff(F.lit(as_of).cast("date"), F.regexp_extract("_metadata.file_path", _PATH_DAY, 1).cast("date"))
+    return [age.alias("idade"), F.col("_metadata.file_path").alias("arquivo"), F.col("_metadata.file_block_start").alias("bloco")]
+
+
+def _line() -> Column:
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("linha")
+
+
+def _arrival(as_of: str) -> Column:
+    """Day, file and position of a row, in the order in which rows are held to have arrived."""
+    return F.struct(*_place(as_of), _line())
+
+
+def headers(lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header, from (arquivo, bloco, linha, value) lines: one job for all files; empty files have none."""
+    first = lines.filter(F.col("bloco") == 0).groupBy("arquivo").agg(F.min_by("value", "linha").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("arquivo").collect():  # one row per file
+        if row.header:
+            found.setdefault(tuple(next(csv.reader([row.header]))), []).append(row.arquivo)
+    return found
+
+
+def _text_schema(header: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in header])
 
 
 def scan_daily(spark: SparkSession, landing: str, sensor: str, as_of: str, days: int = 3) -> DataFrame | None:
     """Rows of the last ``days`` daily CSV folders, newest day first.
 
     Layout: ``landing/sensor=<sensor>/date=<yyyy-mm-dd>/*.csv`` with a header. Only the wanted
-    days' folders are listed. Files are read under their own header and put
+    days' folders are listed. All headers are read by one job, files are read under their own and put
     together by column name; missing or empty days add nothing, and ``None`` means that
     nothing has arrived. ``ordinal`` sorts rows as they arrived (day, file,
     position), however the files are split.
     """
     today = date.fromisoformat(as_of)
     folders = [f"{landing}/sensor={sensor}/date={today - timedelta(days=back)}" for back in range(days)]
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in (path for folder in folders for path in list_files(spark, folder)):
-        by_header.setdefault(_header(spark, path), []).append(path)
-    by_header.pop((), None)
+    paths = [path for folder in folders for path in list_files(spark, folder)]
+    if not paths:
+        return None
+    arrival = _arrival(as_of)
+    by_header = headers(spark.read.text(paths).select("value", arrival.alias("at")).select("value", "at.*"))
+    if not by_header:
+        return None
+    return concatenate([
+        spark.read.schema(_text_schema(header)).option("header", True).option("mode", "PERMISSIVE")
+        .csv([unquote(path) for path in files]).withColumn("ordinal", arrival)
+        for header, files in by_header.items()])
+
+
+def landing_stream(spark: SparkSession, landing: str, as_of: str, files: int = 100) -> DataFrame:
+    """The lines of the daily CSV files of all sensors as they land, at most ``files`` files at a time.
+
+    Same layout as ``scan_daily``; (value, idade, arquivo, bloco) rows. Each micro-batch goes through ``parse_lines``.
+    """
+    return (spark.readStream.option("maxFilesPerTrigger", files).option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.csv").text(landing).select("value", *_place(as_of)))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame | None:
+    """The rows of whole files from a micro-batch of their lines, each under its own file's header, put together by column name.
+
+    Reads ``lines`` once for the headers and once per different header; None if there is no header.
+    """
+    flat = lines.select("value", F.struct("idade", "arquivo", "bloco", _line()).alias("ordinal")).select(
+        "value", "ordinal", "ordinal.arquivo", "ordinal.bloco", "ordinal.linha")
+    by_header = headers(flat)
     if not by_header:
         return None
-    age = F.datediff(F.lit(as_of).cast("date"), F.regexp_extract(
-        "_metadata.file_path", r"date=([0-9-]+)/[^/]*$", 1).cast("date"))
-    arrival = F.struct(
-        age.alias("idade"),
-        F.col("_metadata.file_path").alias("arquivo"),
-        F.col("_metadata.file_block_start").alias("bloco"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("linha"),
-    )
+    told = lines.sparkSession.createDataFrame(
+        [(path, number) for number, files in enumerate(by_header.values()) for path in files], "arquivo string, _header int")
+    heads = flat.filter("bloco = 0").groupBy("arquivo").agg(F.min("linha").alias("_first"))
+    body = flat.join(told, "arquivo").join(heads, "arquivo").filter(
+        ((F.col("bloco") > 0) | (F.col("linha") > F.col("_first"))) & (F.trim("value") != ""))
     return concatenate([
-        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in header]))
-        .option("header", True).option("mode", "PERMISSIVE").csv(paths).withColumn("ordinal", arrival)
-        for header, paths in by_header.items()])
+        body.filter(F.col("_header") == number).select(
+            F.from_csv("value", ", ".join(f"`{name}` string" for name in header)).alias("row"), "ordinal").select(
+                "row.*", "ordinal")
+        for number, header in enumerate(by_header)])
 
 
 def in_country(df: DataFrame, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
