@@ -14,7 +14,7 @@ from emberline import lookups, schemas
 from emberline.functions.scalars import literal
 from emberline.operators.clean import keep_first
 from emberline.schemas import KEY
-from emberline.session import remove_path
+from emberline.session import list_files, remove_path, write_once
 from emberline.sources.stage import read_stage, write_evidence, write_stage
 
 
@@ -101,6 +101,16 @@ def _bind_dated_weather(treated: DataFrame) -> DataFrame:
     return bind_weather(dated, "_day").withColumnRenamed("_day", "data_foco")
 
 
+#: Parts of a table for rows that are not filed under the date in their key.
+BUCKETS = 64
+_MARK = 32  # characters of a load's name: a shorter mark is not written to its end
+
+
+def _bucket(key: str = KEY) -> Column:
+    """The part that a key's row is in unless it is filed under the key's own date."""
+    return F.concat(F.lit("outra"), F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("string"))
+
+
 _BIND = {"focos_incendio": bind_detections, "clima_associado": _bind_dated_weather}
 
 
@@ -113,6 +123,10 @@ class ConstraintError(ValueError):
     """A batch breaks a rule of the star schema; nothing of it was loaded."""
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another load was committed since this one read the tables; nothing of this one is visible, load again."""
+
+
 @dataclass
 class LoadResult:
     rows: int
@@ -127,9 +141,13 @@ class Warehouse:
     marked loads, so a load that stopped half-way shows nothing and is simply
     run again. A key is in a table once, whatever date it comes with.
 
+    Marks are numbered files, each made only if there is none of its number. A load takes the number after those it
+    saw when it began: where another one took it meanwhile, the later is refused, so two loads that overlap cannot
+    both add a key. (The file system has to make a file only once, as HDFS and local ones do.)
+
     Rows whose key contains their own date are filed as ``natural`` under it,
-    others as ``outra``. A key can thus only be met under the date it contains or
-    among the others, and a merge reads no more than that of the target.
+    others in one of ``BUCKETS`` parts by their key. A key can thus only be met under the date it contains or
+    in its part, and a merge reads no more than that of the target.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -146,14 +164,30 @@ class Warehouse:
                 return None
             raise
 
+    def _last_mark(self) -> int:
+        """The number of the last mark, whoever made it; 0 before the first."""
+        names = [path.rsplit("/", 1)[-1] for path in list_files(self.spark, self.path("_cargas"))]
+        return max((int(name) for name in names if name.isdigit()), default=0)
+
+    def _mark(self, load: str, number: int) -> None:
+        """Commit: the mark makes the load's rows visible."""
+        path = f"{self.path('_cargas')}/{number:020d}"
+        if not write_once(self.spark, path, load):
+            raise ConcurrentLoadError(f"another load was committed as number {number}")
+
     def read(self, table: str) -> DataFrame | None:
         """The committed rows of a table with their filing columns."""
-        marks = self._read(self.path("_cargas"), T.StructType(_FILED.fields[:1]), recursiveFileLookup=True)
         rows = self._read(self.path(table), _STORED[table])
-        if marks is None or rows is None:
+        if rows is None:
             return None
-        loads = [row["carga"] for row in marks.collect()]  # one row per load
-        return rows.filter(F.col("carga").isin(loads))
+        try:
+            marks = self.spark.read.text(self.path("_cargas"))
+        except AnalysisException as missing:
+            if missing.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        marks = marks.select(F.col("value").alias("carga")).filter(F.length("carga") == _MARK)
+        return rows.join(marks, "carga", "left_semi")
 
     def detections(self) -> DataFrame:
         return self._or_empty(self.read("focos_incendio"), schemas.DETECTIONS)
@@ -194,31 +228,32 @@ class Warehouse:
         return read_stage(self.spark, write_stage(keep_first(treated, KEY, _arrival(treated)), path)), path
 
     def _commit(self, staged: DataFrame, tables: list[str]) -> int:
-        load = uuid.uuid4().hex
+        load, seen = uuid.uuid4().hex, self._last_mark()
         bound = bind_detections(staged).select(*[f.name for f in schemas.DETECTIONS if not f.nullable])
         missing = F.lit(False)
         for name in bound.columns:
             missing = missing | F.col(name).isNull()
-        # days on the calendar, not rows
-        rows, broken, days = bound.agg(F.count(F.lit(1)), F.count_if(missing), F.collect_set(key_day())).first()
+        # days on the calendar and parts of the table, not rows
+        rows, broken, days, parts = bound.agg(F.count(F.lit(1)), F.count_if(missing), F.collect_set(key_day()),
+                                              F.collect_set(_bucket())).first()
         if broken:
             raise ConstraintError(f"{broken} rows lack one of {', '.join(bound.columns)}")
         for table in tables:
             batch = _BIND[table](staged)
             own = F.coalesce(key_day() == F.col("data_foco"), F.lit(False))
-            filed = batch.withColumns({"carga": F.lit(load), "forma": F.when(own, "natural").otherwise("outra")})
-            (new_rows(filed, self.reachable(table, days)).hint("rebalance", "forma", "data_foco").write.mode("append")
+            filed = batch.withColumns({"carga": F.lit(load), "forma": F.when(own, "natural").otherwise(_bucket())})
+            (new_rows(filed, self.reachable(table, days, parts)).hint("rebalance", "forma", "data_foco").write.mode("append")
              .partitionBy("forma", "data_foco").parquet(self.path(table)))
-        self.spark.createDataFrame([(load,)], "carga string").coalesce(1).write.parquet(self.path(f"_cargas/{load}"))
+        self._mark(load, seen + 1)
         return rows
 
-    def reachable(self, table: str, days: list) -> DataFrame | None:
-        """The part of a table in which keys with these dates, or with none, can be."""
+    def reachable(self, table: str, days: list, parts: list[str]) -> DataFrame | None:
+        """The part of a table in which keys with these dates and in these parts can be."""
         target = self.read(table)
         if target is None:
             return None
         dated = (F.col("forma") == "natural") & F.col("data_foco").isin(days) if days else F.lit(False)
-        return target.filter((F.col("forma") == "outra") | dated)
+        return target.filter(dated | F.col("forma").isin(parts))
 
     def append_images(self, images: DataFrame) -> None:
         images.select(*[F.col(f.name).cast(f.dataType) for f in schemas.IMAGES]).write.mode("append").parquet(

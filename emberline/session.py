@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,6 +71,21 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(path.toString() for path in found if path.getName()[0] not in "._")
 
 
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file unless there is one of that name; whether it was made."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        out = system.create(where, False)
+    except Py4JJavaError as error:
+        if system.exists(where):
+            return False
+        raise error
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 _shipped: set[str] = set()
 
 

@@ -7,7 +7,7 @@ from emberline import fixtures as fx
 from emberline import schemas
 from emberline.plans import marts
 from emberline.plans import warehouse as wh
-from emberline.session import scratch_path
+from emberline.session import scratch_path, write_once
 
 
 @pytest.fixture(scope="module")
@@ -99,14 +99,59 @@ def test_merge_reads_only_the_batch_dates(spark, treated):
     store = wh.Warehouse(spark, scratch_path(spark, "wh"))
     store.load(treated)
     day = treated.select("data_foco").first()[0]
-    plan = store.reachable("focos_incendio", [day])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [((forma" in plan
-    files = store.reachable("focos_incendio", [day]).inputFiles()
+    plan = store.reachable("focos_incendio", [day], ["outra1"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(((forma" in plan
+    files = store.reachable("focos_incendio", [day], []).inputFiles()
     assert files
     fresh = wh.new_rows(wh.bind_detections(treated.filter(F.col("data_foco") == day)),
-                        store.reachable("focos_incendio", [day]))
+                        store.reachable("focos_incendio", [day], ["outra1"]))
     scanned = fresh._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [((forma" in scanned and fresh.count() == 0
+    assert "PartitionFilters: [(((forma" in scanned and fresh.count() == 0
+
+
+def test_undated_keys_read_their_own_parts_only(spark, treated):
+    store = wh.Warehouse(spark, scratch_path(spark, "wh"))
+    some = treated.withColumn("id_externo", F.concat(F.lit("SYN"), F.xxhash64("id_externo")))
+    store.load(some)
+    ten = some.orderBy("id_externo").limit(10)
+    parts = [r[0] for r in ten.select(wh._bucket()).distinct().collect()]
+    everything = store.read("focos_incendio").select("forma").distinct().count()
+    read = store.reachable("focos_incendio", [], parts)
+    assert len(parts) <= 10 < everything
+    assert {r.forma for r in read.select("forma").distinct().collect()} == set(parts)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [forma" in plan and "BroadcastHashJoin" in plan
+    store.load(ten)
+    assert store.detections().count() == some.count()
+
+
+def test_a_load_that_overlaps_another_is_refused(spark, treated):
+    root = scratch_path(spark, "wh")
+    first, second = wh.Warehouse(spark, root), wh.Warehouse(spark, root)
+    first.load(treated.limit(5))
+    commit = second._mark
+
+    def overtaken(load, number):
+        second._mark = commit
+        first.load(treated)
+        commit(load, number)
+
+    second._mark = overtaken
+    with pytest.raises(wh.ConcurrentLoadError):
+        second.load(treated)
+    keys = second.detections().groupBy("id_externo").count()
+    assert keys.count() == treated.count() and keys.filter("count > 1").count() == 0
+    second.load(treated)
+    assert second.detections().count() == second.weather().count() == treated.count()
+
+
+def test_a_mark_that_was_not_finished_hides_its_load(spark, treated):
+    store = wh.Warehouse(spark, scratch_path(spark, "wh"))
+    store.load(treated.limit(3))
+    assert write_once(spark, f"{store.path('_cargas')}/{2:020d}", "")
+    assert not write_once(spark, f"{store.path('_cargas')}/{2:020d}", "x")
+    store.load(treated)
+    assert store.detections().count() == treated.count()
 
 
 def test_failure_leaves_evidence_and_says_so(spark, treated):
