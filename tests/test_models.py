@@ -198,6 +198,21 @@ def test_kernel_is_exact_for_a_linear_model():
     np.testing.assert_allclose(found, (rows - background.mean(axis=0)) * weights, atol=1e-9)
 
 
+def test_masked_network_equals_masked_inputs():
+    draw = np.random.default_rng(4)
+    layers = [6, 5, 4, 2]
+    weights = draw.normal(size=sum(a * b + b for a, b in zip(layers, layers[1:])))
+    predict = explain.network_probability(layers, weights)
+    background, rows = draw.normal(size=(9, 6)), draw.normal(size=(23, 6))
+    split, plain = (explain.KernelExplainer(p, background, samples=40) for p in (predict, lambda x: predict(x)))
+    np.testing.assert_allclose(split(rows), plain(rows), atol=1e-9)
+    np.testing.assert_allclose(split(rows).sum(axis=1), predict(rows) - predict(background).mean(), atol=1e-9)
+    mask = split.masks[7]
+    mixed = [mask * rows[3] + (1 - mask) * b for b in background]
+    assert split._seen(rows)[3, 7] == pytest.approx(predict(np.array(mixed)).mean(), abs=1e-12)
+    assert split(rows[:0]).shape == (0, 6)
+
+
 def test_prefix_scores_end_at_the_model(prepared, fitted_models):
     test = prepared[3]
     for name, steps in ((models.FOREST, [4, 8]), (models.BOOSTING, [2, 5])):

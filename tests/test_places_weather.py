@@ -113,3 +113,21 @@ def test_null_injection_is_exact(spark):
     assert blanked.filter("a is null").count() == blanked.filter("b is null").count() == 246
     assert blanked.filter("a is null and b is null").count() < 246
     assert synthetic.inject_nulls(spark.range(10).selectExpr("id", "1 as a"), "id", ["a"]).filter("a is null").count() == 0
+
+
+def test_dense_boxes_get_short_lists(spark):
+    rng = np.random.default_rng(12)
+    corner, extent = rng.uniform(-30, 0, (4_000, 2)), rng.uniform(0.5, 9, (4_000, 2))
+    rows = [(f"b{i}", *map(float, (c[0], c[0] + e[0], c[1], c[1] + e[1])), int(p))
+            for i, (c, e, p) in enumerate(zip(corner, extent, rng.permutation(4_000)))]
+    rows += [("twin", -20.0, -10.0, -20.0, -10.0, 10_000 + i) for i in range(60)] + [("odd", 5.0, 4.0, 1.0, 2.0, 0)]
+    table = spark.createDataFrame(rows, "nome string, lat_min double, lat_max double, lon_min double, lon_max double, prioridade int")
+    cells = boxes.box_cells(table)
+    assert cells.groupBy("_level", "_row", "_col").count().agg(F.max("count")).first()[0] <= boxes.CELL_BOXES
+    places = [tuple(map(float, p)) for p in rng.uniform(-35, 12, (600, 2))] + [(r[1], r[3]) for r in rows[:100]]
+    places += [(r[2], r[4]) for r in rows[:100]] + [(0.0, 0.0), (90.0, 400.0)]
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(places)], "k int, latitude double, longitude double")
+    got = {r.k: r.lugar for r in boxes.locate(points, table, "k", "lugar", "nenhum").collect()}
+    for i, (lat, lon) in enumerate(places):
+        found = [(r[5], r[0]) for r in rows if r[1] <= lat <= r[2] and r[3] <= lon <= r[4]]
+        assert got[i] == (min(found)[1] if found else "nenhum")
