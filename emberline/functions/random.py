@@ -42,11 +42,31 @@ def normal(key: str, stream: str, mean: float = 0.0, std: float = 1.0, seed: int
     return F.expr(f"{_normal(key, stream, seed)} * double('{std!r}') + double('{mean!r}')")
 
 
+#: Halvings of the interval, and terms of the series, that leave nothing to double precision.
+_HALVINGS = 80
+_TERMS = 400
+
+
+def _gamma_inverse(unit: str, shape: float) -> str:
+    """The value at which the distribution function of a unit-scale gamma is ``unit``, by halving an interval.
+
+    The function is its power series x^a e^-x / Gamma(a + 1) * (1 + x / (a + 1) + x^2 / ((a + 1) (a + 2)) + ...).
+    """
+    series = (f"aggregate(sequence(1, {_TERMS}), named_struct('t', 1.0D, 's', 1.0D), (p, n) -> named_struct("
+              f"'t', p.t * m / ({shape!r}D + n), 's', p.s + p.t * m / ({shape!r}D + n)), p -> p.s)")
+    below = f"{series} * exp({shape!r}D * ln(m) - m - {math.lgamma(shape + 1.0)!r}D) < {unit}"
+    # the middle as a variable: the only element of an array
+    halves = (f"element_at(transform(array((i.l + i.h) / 2.0D), m -> if({below}, named_struct('l', m, 'h', i.h), "
+              "named_struct('l', i.l, 'h', m))), 1)")
+    return (f"aggregate(sequence(1, {_HALVINGS}), named_struct('l', 0.0D, 'h', {3.0 * shape + 60.0!r}D), "
+            f"(i, k) -> {halves}, i -> (i.l + i.h) / 2.0D)")
+
+
 def gamma(key: str, stream: str, shape: float, scale: float, seed: int = 42, tries: int = 8) -> Column:
     """Marsaglia-Tsang for shape >= 1, the first accepted of ``tries`` proposals.
 
     A proposal is accepted with probability above 0.95, so that all tries fail
-    for about one row in 10^10; such a row takes the distribution's mode.
+    for about one row in 10^10; such a row's value comes from the inverted distribution function.
     """
     d = shape - 1.0 / 3.0
     c = 1.0 / math.sqrt(9.0 * d)
@@ -57,8 +77,9 @@ def gamma(key: str, stream: str, shape: float, scale: float, seed: int = 42, tri
         bound = f"0.5D * {x} * {x} + {d!r}D - {d!r}D * {v} + {d!r}D * ln({v})"
         return f"if({v} > 0 and ln({_unit(key, f'{stream}.u{i}', seed)}) < {bound}, {d!r}D * {v}, null)"
 
-    proposals = ", ".join(proposal(i) for i in range(tries))
-    return F.expr(f"coalesce({proposals}, {max(shape - 1.0, 0.0)!r}D) * {float(scale)!r}D")
+    last = _gamma_inverse(_unit(key, f"{stream}.last", seed), shape)
+    proposals = ", ".join([*(proposal(i) for i in range(tries)), last])
+    return F.expr(f"coalesce({proposals}) * {float(scale)!r}D")
 
 
 def poisson(key: str, stream: str, mean: float, seed: int = 42) -> Column:

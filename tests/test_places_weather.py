@@ -131,3 +131,14 @@ def test_dense_boxes_get_short_lists(spark):
     for i, (lat, lon) in enumerate(places):
         found = [(r[5], r[0]) for r in rows if r[1] <= lat <= r[2] and r[3] <= lon <= r[4]]
         assert got[i] == (min(found)[1] if found else "nenhum")
+
+
+def test_gamma_without_proposals_is_the_inverse(spark):
+    rows = spark.range(3_000).select(*[r.gamma("id", f"g{shape}", shape, 2.0, tries=0).alias(f"g{i}")
+                                       for i, shape in enumerate((1.2, 2.0, 6.5))],
+                                     F.expr(r._unit("id", "g2.0.last", 42)).alias("u")).toPandas()
+    for i, shape in enumerate((1.2, 2.0, 6.5)):
+        values = rows[f"g{i}"]
+        assert abs(values.mean() - 2 * shape) < 4 * 2 * shape ** 0.5 / 3_000 ** 0.5 and values.min() > 0
+    x = rows["g1"] / 2
+    np.testing.assert_allclose(1 - np.exp(-x) * (1 + x), rows["u"], atol=1e-12)
