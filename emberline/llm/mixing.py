@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberline.llm.text import WORD
+from emberline.llm.text import WORD, release_memory
 from emberline.session import scratch_path
 
 WEIGHTS = (5, 2, 1)
@@ -112,6 +112,7 @@ def _folder(seed: int, level: int, last: bool) -> Callable[[pd.DataFrame], pd.Da
             elif held >= 0:
                 settled[places[held]] = False
             part[places] = rounded
+        release_memory()
         return rows.assign(part=part, settled=settled)[[field.split()[0] for field in _FOLD.split(", ")]]
 
     return run

@@ -270,8 +270,9 @@ def pack(docs: DataFrame, tokenizer: str, end: int = 1, window: int = WINDOW,
         for pieces in levels.settle():
             out.add(pieces)
         yield out.batch()
-        # the worker may stay, idle, for other work
-        words.forget()
+        # the worker may stay, idle, for other work; loading the vocabulary again takes a fraction of a second
+        _loaded.clear()
+        del words
         release_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
