@@ -157,6 +157,42 @@ def test_tree_shap_equals_enumeration(spark):
         np.testing.assert_allclose(impacts, expected, atol=1e-12)
 
 
+def test_tree_shap_of_a_feature_used_again_a_lone_leaf_and_a_missing_number():
+    # x0 <= 5, then x0 <= 2 on the left and x1 <= 1 on the right; the second tree never splits
+    split_twice = trees.Tree(
+        feature=np.array([0, 0, 1, 0, 0, 0, 0]), threshold=np.array([5.0, 2.0, 1.0, 0, 0, 0, 0]),
+        left=np.array([1, 3, 5, -1, -1, -1, -1]), right=np.array([2, 4, 6, -1, -1, -1, -1]),
+        value=np.array([0, 0, 0, 1.0, -2.0, 4.0, 8.0]), cover=np.array([10.0, 6, 4, 5, 1, 2, 2]))
+    none = np.array([-1])
+    leaf = trees.Tree(np.zeros(1, dtype=int), np.zeros(1), none, none, np.array([3.0]), np.array([10.0]))
+    ensemble = trees.Ensemble([split_twice, leaf], [0.5, 2.0], True)
+    x = np.array([[1.0, 0.0], [2.0, 9.0], [3.0, 1.0], [6.0, 1.0], [np.inf, 2.0], [-np.inf, 0.0], [np.nan, np.nan]])
+    found = treeshap.shap_values(ensemble, x)
+    for row, impacts in zip(np.where(np.isnan(x), np.inf, x), found):
+        np.testing.assert_allclose(impacts, exact_shapley(split_twice, row) * 0.5, atol=1e-12)
+    total = treeshap.expected_value(ensemble) + found.sum(axis=1)
+    np.testing.assert_allclose(total, 0.5 * split_twice.predict(x) + 6.0, atol=1e-12)
+    assert treeshap.shap_values(ensemble, x[:0]).shape == (0, 2)
+
+
+def test_tree_shap_does_not_depend_on_the_block(monkeypatch):
+    draw = np.random.default_rng(3)
+    inner = 63
+    feature, threshold = draw.integers(0, 4, 127), draw.random(127)
+    left = np.where(np.arange(127) < inner, 2 * np.arange(127) + 1, -1)
+    right = np.where(left < 0, -1, left + 1)
+    cover = np.ones(127)
+    for node in reversed(range(inner)):
+        cover[node] = cover[left[node]] + cover[right[node]]
+    tree = trees.Tree(feature, threshold, left, right, draw.random(127), cover)
+    x = draw.random((50, 4))
+    whole = treeshap.shap_values(trees.Ensemble([tree], [1.0], False), x)
+    monkeypatch.setattr(treeshap, "BLOCK_CELLS", 1)
+    np.testing.assert_allclose(treeshap.shap_values(trees.Ensemble([tree], [1.0], False), x), whole, atol=1e-14)
+    for row, impacts in zip(x[:5], whole):
+        np.testing.assert_allclose(impacts, exact_shapley(tree, row), atol=1e-12)
+
+
 def test_forest_explanations_add_up(prepared, fitted_models):
     fitted, _, _, test = prepared
     names = models.feature_names(fitted)
