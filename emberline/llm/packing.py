@@ -29,7 +29,7 @@ SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 _KNOWN_WORDS = 400_000
 _JOINED = 1000
 #: Stretches are told apart per chunk: larger ones repeat more.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 _LETTER = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
 _OTHER_ASCII = np.array([b < 128 and not _LETTER[b] and b not in b" \t\n\r\x0b\x0c" for b in range(256)])
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
@@ -88,14 +88,16 @@ class Vocabulary:
         alone = list(alone)
         texts = [self.mark.join(w.decode() for w in joined[i:i + _JOINED]) for i in range(0, len(joined), _JOINED)]
         pool, sizes = [self.pool], [self.sizes]
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(found.ids, np.uint32)
+        # one text after another: what the tokenizer tells besides ids takes several times the room of the text
+        for text in texts:
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
             marks = np.flatnonzero(ids == self.mark_id)
             sizes.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
             pool.append(ids[ids != self.mark_id])
-        for found in self.tokenizer.encode_batch_fast([w.decode() for w in alone], add_special_tokens=False):
-            sizes.append(np.array([len(found.ids)]))
-            pool.append(np.array(found.ids, np.uint32))
+        for word in alone:
+            ids = np.array(self.tokenizer.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids, np.uint32)
+            sizes.append(np.array([len(ids)]))
+            pool.append(ids)
         self.known.update(zip(joined + alone, range(len(self.known), len(self.known) + len(words))))
         self.pool, self.sizes = np.concatenate(pool), np.concatenate(sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
