@@ -6,13 +6,13 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.ml import boosting
+from emberline.ml import boosting, network
 from emberline.ml.evaluate import classification_metrics, leaderboard
 from emberline.ml.prep import RiskPrep
 from emberline.schemas import CATEGORICAL, CONTINUOUS, FLAGS, LABEL
@@ -57,20 +57,16 @@ def feature_names(prepared: PipelineModel) -> list[str]:
     return [*CONTINUOUS, *onehot, *FLAGS]
 
 
-def classifier(name: str, inputs: int, settings: Settings = Settings()):
-    common = {"featuresCol": "features", "labelCol": LABEL, "seed": settings.seed}
-    if name == FOREST:
-        return RandomForestClassifier(numTrees=settings.trees, maxDepth=settings.tree_depth,
-                                      featureSubsetStrategy="sqrt", maxMemoryInMB=512, **common)
-    if name == NETWORK:
-        return MultilayerPerceptronClassifier(layers=[inputs, *settings.hidden, 2], maxIter=settings.epochs, **common)
-    raise ValueError(name)
-
-
 def fit_classifier(name: str, prepared: DataFrame, inputs: int, settings: Settings = Settings()):
     if name == BOOSTING:
         return boosting.fit(prepared, LABEL, settings.rounds, settings.round_depth, settings.step, seed=settings.seed)
-    return classifier(name, inputs, settings).fit(prepared)
+    if name == NETWORK:
+        return network.fit(prepared, LABEL, settings.hidden, settings.epochs, inputs, seed=settings.seed)
+    if name == FOREST:
+        return RandomForestClassifier(
+            featuresCol="features", labelCol=LABEL, numTrees=settings.trees, maxDepth=settings.tree_depth,
+            featureSubsetStrategy="sqrt", maxMemoryInMB=512, seed=settings.seed).fit(prepared)
+    raise ValueError(name)
 
 
 def positive_probability(scored: DataFrame, name: str = "probabilidade") -> DataFrame:
