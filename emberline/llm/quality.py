@@ -1,221 +1,326 @@
 """Quality by the perplexity of an interpolated modified Kneser-Ney model of trusted text.
 
-The model is a table per order, made by grouping and joining counts: what is left of each n-gram's
-count after its discount, as a share of its context, and each context's weight for the next lower
-order. Lower orders count different predecessors instead of occurrences. The sample to learn from is bounded in
-documents, whole whatever their length, and the model has at most two names per order and word of it. Its tables go
-to all tasks as sorted shards, and a document's n-grams are joined with them where the document is read.
+Half of the trusted documents train, the others give the thresholds; neither is bounded. The model is a table of counts by hash of
+the n-gram, in shards. From the highest order down, blocks of the training text ask the shards how often their n-grams
+occur; an n-gram's first asker owns it and adds it to the n-grams one order lower: to the counts of its context, and
+as one more predecessor of its suffix. To be scored, blocks of documents ask for the counts of their different n-grams and contexts,
+slice by slice, so that only a slice's blocks, questions and answers are on disk at once. Only counts of counts reach the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberline.llm.components import frees_shuffles, stored
-from emberline.llm.katz import Block, blocks
-from emberline.llm.text import mix, release_memory, runs
+from emberline.llm.katz import Block, _bytes, _numbers, blocks
+from emberline.llm.text import mix
+from emberline.operators.order_stats import kth_values
 from emberline.session import remove_path, scratch_path
 
 ORDER = 3
-#: Bound of the fit: trusted documents to train on, the first by hash of the id. All others give the quantiles.
-TRAIN_DOCS = 4_000
 QUANTILE = 0.99
 #: Steps a span of values is cut into, and values of a group that may be sorted in one place.
 STEPS = 1024
 DIRECT = 10_000
-TABLE_BITS = 22
-_GRAMS = "order int, key bigint, context bigint, suffix bigint, starts boolean, count bigint"
-
-
-def _named(hashes: np.ndarray, order: int, context: bool = False) -> np.ndarray:
-    """Keys of n-grams and of contexts, all in one space."""
-    return mix(hashes + np.uint64(2 * order + context))
-
-
-def _train_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches, lower=False):
-        block = Block(next(batch.to_pandas().itertuples()), 1)
-        for order in range(2, ORDER + 1):
-            at, grams = block.grams(order)
-            place = block.place[at]
-            context = block.sequence[place - 1] if order == 2 else runs(block.sequence, order - 1)[place - order + 1]
-            suffix = block.grams(order - 1)[1][np.searchsorted(block.grams(order - 1)[0], at)]
-            keys, first, count = np.unique(grams, return_index=True, return_counts=True)
-            columns = [np.full(len(keys), order, np.int32), keys.view(np.int64), context[first].view(np.int64),
-                       suffix[first].view(np.int64), block.inside[at][first] + 2 == order, count]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in _GRAMS.split(", ")])
-
-
-def _discounts(counts: DataFrame) -> list[float]:
-    """What 1, 2, and 3 or more lose, from the counts of counts."""
-    n = counts.agg(*[F.count_if(F.col("count") == r).alias(f"n{r}") for r in range(1, 5)]).first()
-    y = n.n1 / (n.n1 + 2 * n.n2) if n.n1 else 0.5
-    out = []
+#: Training tokens of a shard, and a quarter of the tokens scored by one.
+SHARD_TOKENS = 500_000
+#: Most slices that documents are scored in, and least tokens of one.
+SLICES = 16
+SLICE_TOKENS = 4_000_000
+#: Characters of a word, roughly: only the number of shards follows from it.
+_WORD_CHARS = 6
+_BLOCK = ("block bigint, doc_ids binary, nulls binary, langs array<string>, held binary, sizes binary, words binary, "
+          "tokens binary")
+_ENTRY = "order int, shard bigint, block bigint, first binary, second binary, keys binary, sums array<binary>, of array<bigint>"
+_SCORE = "doc_id bigint, n_tokens bigint, perplexity double, lang string"
+
+
+# ------------------------------------------------------------------ blocks
+
+def _named_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of whole texts with ids and languages of their rows."""
+    langs: list = []
+
+    def noted() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs.extend(batch.column(3).to_pylist())
+            yield batch
+
+    for batch in blocks(noted(), lower=False):
+        ids = batch.column(1).flatten()
+        # blocks hold the rows in order
+        own_langs = langs[:len(ids)]
+        del langs[:len(ids)]
+        columns = [batch.column(0), pa.array([ids.fill_null(0).to_numpy().tobytes()], pa.binary()),
+                   pa.array([ids.is_null().to_numpy(zero_copy_only=False).tobytes()], pa.binary()),
+                   pa.array([own_langs], pa.list_(pa.string())), *batch.columns[2:]]
+        yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _BLOCK.split(", ")])
+
+
+def _kept_blocks(docs: DataFrame) -> tuple[str, int]:
+    """The table of a frame's blocks, bucketed by block, and their tokens."""
+    spark, name = docs.sparkSession, f"quality_blocks_{uuid.uuid4().hex}"
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
+    rows = docs.select("doc_id", "text", F.lit(False).alias("held"), lang).mapInArrow(_named_blocks, _BLOCK)
+    rows.write.option("compression", "zstd").bucketBy(_buckets(spark), "block").saveAsTable(name)
+    return name, int(spark.table(name).agg(F.sum(F.length("tokens"))).first()[0] or 0) // 4
+
+
+def _tokens(docs: DataFrame) -> int:
+    """About as many as there are."""
+    return (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // _WORD_CHARS
+
+
+def _buckets(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _cuts(keys: np.ndarray, shards: int) -> np.ndarray:
+    """Where each shard's keys start; ``keys`` are in order of shard."""
+    return np.searchsorted((mix(keys) % np.uint64(shards)).astype(np.int64), np.arange(shards + 1))
+
+
+def _before(block: Block, tokens: np.ndarray) -> np.ndarray:
+    """The tokens before; before a document's first one is an end."""
+    return np.where(block.inside[tokens] > 0, tokens - 1, block.ends_at[0])
+
+
+def _by_token(block: Block, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's different n-grams in order of shard, and which of them ends at each token (-1: none)."""
+    at, keys, _, which, _ = block.asked(order)
+    out = np.full(len(block.inside), -1)
+    out[at] = which
+    return keys, out
+
+
+# ------------------------------------------------------------------ the model
+
+def _questions(row, keys: np.ndarray, sums: list[np.ndarray], shards: int) -> pd.DataFrame:
+    cuts = _cuts(keys, shards)
+    some = np.flatnonzero(np.diff(cuts)).tolist()
+    return pd.DataFrame({"shard": some, "block": [row.block] * len(some),
+                         "keys": [keys[cuts[k]:cuts[k + 1]].tobytes() for k in some],
+                         "sums": [[_bytes(s[cuts[k]:cuts[k + 1]]) for s in sums] for k in some]})
+
+
+def _merged(order: int):
+    """A shard's entries, with its counts of counts, and what its blocks asked for: counts, and which n-grams they own."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("block")
+        cuts = np.cumsum([len(k) // 8 for k in rows["keys"]])[:-1]
+        unique, first, which = np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in rows["keys"]]),
+                                         return_index=True, return_inverse=True)
+        sums = [np.bincount(which, np.concatenate([_numbers(s) for s in column]), len(unique)).astype(np.int64)
+                for column in zip(*rows["sums"])]
+        count, owned = sums[0], np.zeros(len(which), bool)
+        owned[first] = True
+        of = [len(unique), int(count.sum()), *np.bincount(np.minimum(count, 5), minlength=6)[1:5].tolist()]
+        none = [None] * len(rows)
+        return pd.DataFrame({
+            "order": order, "shard": int(rows["shard"].iloc[0]), "block": [-1, *rows["block"]],
+            "first": [None, *[_bytes(c) for c in np.split(count[which], cuts)]],
+            "second": [None, *[np.packbits(o).tobytes() for o in np.split(owned, cuts)]],
+            "keys": [unique.tobytes(), *none], "sums": [[_bytes(s) for s in sums], *none], "of": [of, *none]})
+
+    return run
+
+
+def _lower(row, answers: pd.DataFrame, order: int, shards: int) -> pd.DataFrame:
+    """What the n-grams that a block owns add to those one order lower."""
+    block = Block(row, shards)
+    first = block.asked(order)[2]
+    answers = answers.sort_values("shard")
+    parts = [np.empty(0, np.int64), *[_numbers(v) for v in answers["first"]]]
+    owned = np.concatenate([np.empty(0, bool), *[
+        np.unpackbits(np.frombuffer(v, np.uint8), count=len(p)).astype(bool) for v, p in zip(answers["second"], parts[1:])]])
+    count, own = np.concatenate(parts)[owned], first[owned]
+    keys, which = _by_token(block, order - 1)
+    context = which[_before(block, own)]
+    counts = np.bincount(which[own], minlength=len(keys))
+    if order > 2:
+        # what starts a document has no predecessors to count
+        counts += np.bincount(which[block.inside == order - 3], minlength=len(keys))
+    sums = [counts, np.bincount(context, count, len(keys)).astype(np.int64)]
+    sums += [np.bincount(context[np.minimum(count, 3) == r], minlength=len(keys)) for r in (1, 2, 3)]
+    return _questions(row, keys, sums, shards)
+
+
+def _discounts(n: list[int]) -> np.ndarray:
+    """What counts of 0, 1, 2, and 3 or more lose, from the counts of counts."""
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
+    out = [0.0]
     for r in range(1, 4):
         value = r - (r + 1) * y * n[r] / n[r - 1] if n[r - 1] else y
         out.append(value if 0 < value < r else y)
-    return out
-
-
-def _table(counts: DataFrame, order: int, kept: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, float]:
-    """(name, value) rows of an order from (key, context, count): shares and context weights."""
-    one, two, more = _discounts(counts)
-    lost = F.when(F.col("count") == 1, one).when(F.col("count") == 2, two).otherwise(more)
-    by_context = counts.groupBy("context").agg(F.sum("count").alias("total"), F.sum(lost).alias("lost"))
-    by_context = kept(by_context, f"contexts{order}")
-    if order == 1:
-        row = by_context.first()
-        weight, total = (row.lost / row.total, row.total) if row else (1.0, 1)
-        return counts.select(F.lit(1).alias("order"), "key", ((F.col("count") - lost) / F.lit(total)).alias("value")), weight
-    shares = counts.join(by_context.select("context", "total"), "context").select(
-        F.lit(order).alias("order"), "key", ((F.col("count") - lost) / F.col("total")).alias("value"))
-    weights = by_context.select(F.lit(-order).alias("order"), F.col("context").alias("key"),
-                                (F.col("lost") / F.col("total")).alias("value"))
-    return shares.union(weights), 0.0
-
-
-def fit(trusted: DataFrame) -> tuple[DataFrame, float]:
-    """The model's rows (order, key, value), contexts with the order negated, and the share of a word never seen."""
-    spark = trusted.sparkSession
-    folder = scratch_path(spark, "fit")
-
-    def kept(df: DataFrame, label: str) -> DataFrame:
-        """As ``stored``, until the model is."""
-        df.write.parquet(f"{folder}/{label}")
-        return spark.read.parquet(f"{folder}/{label}")
-
-    grams = kept(trusted.select("doc_id", "text", F.lit(False).alias("held")).mapInArrow(_train_grams, _GRAMS)
-                 .groupBy("order", "key", "context", "suffix", "starts").agg(F.sum("count").alias("count")), "grams")
-    counts = grams.filter(F.col("order") == ORDER).select("key", "context", "suffix", "count")
-    rows, _ = _table(counts, ORDER, kept)
-    for order in range(ORDER - 1, 1, -1):
-        before = counts.groupBy(F.col("suffix").alias("key")).agg(F.count(F.lit(1)).alias("before"))
-        own = grams.filter(F.col("order") == order)
-        # what starts a document has no predecessors to count
-        counts = kept(own.join(before, "key", "left").select("key", "context", "suffix", F.when(
-            F.col("starts"), F.col("count")).otherwise(F.coalesce("before", F.lit(1))).alias("count")), f"counts{order}")
-        rows = rows.union(_table(counts, order, kept)[0])
-    words = kept(counts.groupBy(F.col("suffix").alias("key")).agg(F.count(F.lit(1)).alias("count")).withColumn(
-        "context", F.lit(0).cast("bigint")), "words")
-    shares, weight = _table(words, 1, kept)
-    model, unseen = stored(rows.union(shares), "model"), weight / (words.count() + 1)
-    remove_path(spark, folder)
-    return model, unseen
-
-
-def _packed(distinct):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The model's names, and the places of their values among the ``distinct`` ones, as a row of bytes per batch."""
-        for batch in batches:
-            order, key = np.asarray(batch.column(0)), np.asarray(batch.column(1)).view(np.uint64)
-            names = np.empty(len(key), np.uint64)
-            for o in np.unique(order):
-                names[order == o] = _named(key[order == o], abs(int(o)), bool(o < 0))
-            which = np.searchsorted(distinct.value, np.asarray(batch.column(2))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([names.tobytes()], pa.binary()), pa.array([which.tobytes()], pa.binary())], ["names", "which"])
+    return np.array(out)
 
-    return run
+
+@dataclass
+class Model:
+    """The table of entries, bucketed by shard; the discounts of each order; and all counts of words."""
+
+    table: str
+    shards: int
+    discounts: dict[int, np.ndarray]
+    total: int
 
 
-class Shards:
-    """The model by name: a sorted table, behind bits that sort out most unknown names.
+def fit(trusted: DataFrame, asked: int = 0) -> tuple[Model, float]:
+    """The model, and the share of a word never seen.
 
-    Few values differ, so each is held once. Every executor writes the table to its disk: there a name goes without
-    its leading 16 bits, as the names are in order, and the bits that sort out are made anew.
+    Every row counts, whole; the model's table stays until ``drop``. Where many more tokens than the training ones will be scored, tell how
+    many are ``asked``, roughly: the more shards, the fewer of them come to one.
     """
+    spark = trusted.sparkSession
+    table, tokens = _kept_blocks(trusted)
+    shards = max(1, math.ceil(max(tokens, asked / 4) / SHARD_TOKENS))
+    entries, rows = f"quality_model_{uuid.uuid4().hex}", spark.table(table)
+    schema, discounts, path = "shard bigint, block bigint, keys binary, sums array<binary>", {}, None
 
-    def __init__(self, names: np.ndarray, which: np.ndarray, values: np.ndarray):
-        order = np.argsort(names)
-        self.names, self.which, self.values = names[order], which[order], values
-        self._sort_out()
-
-    def _sort_out(self) -> None:
-        self.known = np.zeros(1 << TABLE_BITS, bool)
-        self.known[self._low(self.names)] = True
-
-    @staticmethod
-    def _low(names: np.ndarray) -> np.ndarray:
-        return (names & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
-
-    def __getstate__(self) -> tuple:
-        leading = np.bincount((self.names >> np.uint64(48)).astype(np.int64), minlength=1 << 16)
-        return leading, self.names.view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), self.which, self.values
-
-    def __setstate__(self, state: tuple) -> None:
-        leading, rest, self.which, self.values = state
-        names = np.zeros((len(self.which), 8), np.uint8)
-        names[:, :6] = np.frombuffer(rest, np.uint8).reshape(-1, 6)
-        self.names = names.view(np.uint64).ravel()
-        self.names += np.repeat(np.arange(1 << 16, dtype=np.uint64) << np.uint64(48), leading)
-        self._sort_out()
-
-    def get(self, names: np.ndarray, missing: float) -> np.ndarray:
-        """The values of the names; each different one is looked up once, in order, as a search elsewhere misses the cache."""
-        out = np.full(len(names), missing)
-        maybe = np.flatnonzero(self.known[self._low(names)])
-        if len(self.names) and len(maybe):
-            asked, which = np.unique(names[maybe], return_inverse=True)
-            at = np.minimum(np.searchsorted(self.names, asked), len(self.names) - 1)
-            found = np.where(self.names[at] == asked, self.values[self.which[at]], missing)
-            out[maybe] = found[which]
-        return out
-
-
-def perplexity(docs: DataFrame, model: DataFrame, unseen: float) -> DataFrame:
+    def highest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                _, keys, _, _, counts = Block(row, shards).asked(ORDER)
+                if len(keys):
+                    yield _questions(row, keys, [counts], shards)
+
+    def lower(order: int):
+        def run(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+            return _lower(next(block.itertuples()), answers, order, shards)
+
+        return run
+
+    for order in range(ORDER, 0, -1):
+        if order == ORDER:
+            questions = rows.mapInPandas(highest, schema)
+        else:
+            answers = merged.filter("block >= 0").select("block", "shard", "first", "second")
+            questions = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(lower(order + 1), schema)
+        # stored first: shuffles of a query that makes a table are not deleted when it ends
+        path, last = scratch_path(spark, "merged"), path
+        questions.groupBy("shard").applyInPandas(_merged(order), _ENTRY).write.parquet(path)
+        if last:
+            remove_path(spark, last)
+        merged = spark.read.schema(_ENTRY).parquet(path)
+        own = merged.filter("block < 0")
+        own.select("shard", "order", "keys", "sums").write.mode("append").option("compression", "zstd").bucketBy(
+            _buckets(spark), "shard").saveAsTable(entries)
+        sizes = [v or 0 for v in own.agg(*[F.sum(F.col("of")[i]) for i in range(6)]).first()]
+        discounts[order] = _discounts(sizes[2:])
+    remove_path(spark, path)
+    spark.sql(f"DROP TABLE {table}")
+    words, total, one, two, *_ = sizes
+    lost = float(np.dot([one, two, words - one - two], discounts[1][1:]))
+    return Model(entries, shards, discounts, total), (lost / total if total else 1.0) / (words + 1)
+
+
+def drop(spark, model: Model) -> None:
+    spark.sql(f"DROP TABLE {model.table}")
+
+
+# ------------------------------------------------------------------ scores
+
+def _answered(questions: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+    """Per question and order: which of the n-grams are known, and the counts of these."""
+    if not len(questions):
+        return pd.DataFrame()
+    held = {e.order: (np.frombuffer(e.keys, np.uint64), [_numbers(s) for s in e.sums]) for e in entries.itertuples()}
+    answers = []
+    for row in questions.itertuples():
+        own = []
+        for order, asked in enumerate(row.keys, 1):
+            asked = np.frombuffer(asked, np.uint64)
+            keys, sums = held.get(order, (np.empty(0, np.uint64), []))
+            at = np.searchsorted(keys, asked)
+            inside = np.flatnonzero(at < len(keys))
+            known = np.zeros(len(asked), bool)
+            known[inside] = keys[at[inside]] == asked[inside]
+            own.append(np.packbits(known).tobytes())
+            # the highest order has no contexts
+            none = [np.empty(0, np.int64)] * (1 if order == ORDER else 5)
+            own += [_bytes(s[at[known]] if len(s) else s) for s in sums or none]
+        answers.append(own)
+    return pd.DataFrame({"block": questions["block"], "shard": questions["shard"], "answers": answers})
+
+
+def _chances(block: Block, answers: pd.DataFrame, model: Model, unseen: float) -> np.ndarray:
+    """The probability of each token."""
+    answers, place = answers.sort_values("shard"), 0
+    found, asked = list(answers["answers"]), answers["shard"].to_numpy()
+    chance = contexts = None
+    for order in range(1, ORDER + 1):
+        keys, which = _by_token(block, order)
+        sizes = np.diff(_cuts(keys, model.shards))[asked].tolist()
+        known = np.concatenate([np.unpackbits(np.frombuffer(a[place], np.uint8), count=n) for a, n in zip(found, sizes)])
+        known, sums = np.flatnonzero(known), []
+        for column in range(place + 1, place + (2 if order == ORDER else 6)):
+            # the last entry is that of tokens without such an n-gram
+            sums.append(np.zeros(len(keys) + 1))
+            sums[-1][known] = np.concatenate([_numbers(a[column]) for a in found])
+        place += 1 + len(sums)
+        discount, count = model.discounts[order], sums[0]
+        kept = (count - discount[np.minimum(count, 3).astype(np.int64)])[which]
+        if order == 1:
+            chance = np.where(count[which] > 0, kept / max(model.total, 1), 0.0) + unseen
+        else:
+            before = contexts[0][_before(block, np.arange(len(block.inside)))]
+            total, *classes = [s[before] for s in contexts[1]]
+            lost, some = sum(d * c for d, c in zip(discount[1:], classes)), total > 0
+            total = np.where(some, total, 1.0)
+            mixed = np.where(count[which] > 0, kept / total, 0.0) + np.where(some, lost / total, 1.0) * chance
+            chance = np.where(which >= 0, mixed, chance)
+        contexts = which, sums[1:]
+    return chance
+
+
+def perplexity(docs: DataFrame, model: Model, unseen: float) -> DataFrame:
     """doc_id, n_tokens (words and one end), perplexity and lang (null, if ``docs`` has none) per row of ``docs``.
 
     A null or empty text is its end alone; rows that repeat are scored each; an empty table gives no rows; texts are
-    read whole, whatever their length; other columns take no part, whatever their names.
+    read whole, whatever their length; other columns take no part, whatever their names. ``docs`` is read once per slice,
+    so hand in a stored table.
     """
-    context = docs.sparkSession.sparkContext
-    # bounded by TRAIN_DOCS; taken part by part, as the driver holds little more than the table itself
-    distinct = np.sort(model.select("value").distinct().toArrow().column(0).to_numpy())
-    names, which, size = np.empty(rows := model.count(), np.uint64), np.empty(rows, np.int32), 0
-    packed = model.mapInArrow(_packed(context.broadcast(distinct)), "names binary, which binary")
-    for part in packed.toLocalIterator():
-        own = np.frombuffer(part.names, np.uint64)
-        names[size:size + len(own)], which[size:size + len(own)] = own, np.frombuffer(part.which, np.int32)
-        size += len(own)
-    held = context.broadcast(Shards(names, which, distinct))
-    del names, which
-    release_memory()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs: list = []
-
-        def noted() -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                langs.extend(batch.column(3).to_pylist())
-                yield batch
-
-        for batch in blocks(noted(), lower=False):
-            block = Block(next(batch.to_pandas().itertuples()), 1)
-            # blocks hold the rows in order
-            own_langs = langs[:len(block.sizes)]
-            del langs[:len(block.sizes)]
-            chance = held.value.get(_named(block.grams(1)[1], 1), 0.0) + unseen
-            for order in range(2, ORDER + 1):
-                at, grams = block.grams(order)
-                place = block.place[at]
-                before = block.sequence[place - 1] if order == 2 else runs(block.sequence, order - 1)[place - order + 1]
-                own = held.value.get(_named(grams, order), 0.0)
-                chance[at] = own + held.value.get(_named(before, order, True), 1.0) * chance[at]
-            starts = np.cumsum(block.sizes) - block.sizes
-            total = np.add.reduceat(np.log(chance), starts)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1).flatten(), pa.array(block.sizes), pa.array(np.exp(-total / block.sizes)),
-                 pa.array(own_langs, pa.string())], ["doc_id", "n_tokens", "perplexity", "lang"])
+    spark, shards, path = docs.sparkSession, model.shards, scratch_path(docs.sparkSession, "perplexity")
+    slices = max(1, min(SLICES, math.ceil(_tokens(docs) / SLICE_TOKENS)))
+    entries = spark.table(model.table)
 
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang")
-    return docs.select("doc_id", "text", F.lit(False).alias("held"), lang).mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, perplexity double, lang string")
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                block = Block(row, shards)
+                keys = [block.asked(order)[1] for order in range(1, ORDER + 1)]
+                cuts = [_cuts(k, shards) for k in keys]
+                some = np.flatnonzero(sum(np.diff(c) for c in cuts)).tolist()
+                yield pd.DataFrame({"shard": some, "block": [row.block] * len(some), "keys": [
+                    [k[c[i]:c[i + 1]].tobytes() for k, c in zip(keys, cuts)] for i in some]})
+
+    def scores(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        row = next(own.itertuples())
+        block = Block(row, shards)
+        logs = np.log(_chances(block, answers, model, unseen))
+        total = np.add.reduceat(logs, np.cumsum(block.sizes) - block.sizes)
+        ids = pd.arrays.IntegerArray(np.frombuffer(row.doc_ids, np.int64).copy(), np.frombuffer(row.nulls, bool).copy())
+        return pd.DataFrame({"doc_id": ids, "n_tokens": block.sizes, "perplexity": np.exp(-total / block.sizes),
+                             "lang": list(row.langs)})
+
+    for number in range(slices):
+        table, _ = _kept_blocks(docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slices)) == number))
+        rows = spark.table(table)
+        questions = rows.mapInPandas(ask, "shard bigint, block bigint, keys array<binary>")
+        answers = questions.groupBy("shard").cogroup(entries.groupBy("shard")).applyInPandas(
+            _answered, "block bigint, shard bigint, answers array<binary>")
+        rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(scores, _SCORE).write.mode("append").parquet(path)
+        spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(_SCORE).parquet(path)
 
 
 def grouped_quantile(rows: DataFrame, share: float, direct: int = DIRECT) -> DataFrame:
@@ -259,25 +364,38 @@ def grouped_quantile(rows: DataFrame, share: float, direct: int = DIRECT) -> Dat
         "quantiles")
 
 
+def _first(ids: DataFrame, wanted: int, count: int) -> DataFrame:
+    """The ``wanted`` first of the ``count`` different ids by hash, found by rank, without gathering them."""
+    if not wanted:
+        return ids.limit(0)
+    digest = F.xxhash64("doc_id")
+    high = F.shiftright(digest, 12)  # what a double holds exactly
+    last = int(kth_values(ids, {"high": high}, {"high": [wanted - 1]}, {"high": count})["high", wanted - 1])
+    below = ids.filter(high < last)
+    return below.union(ids.filter(high == last).orderBy(digest, "doc_id").limit(wanted - below.count()))
+
+
 @frees_shuffles
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, train_docs: int = TRAIN_DOCS,
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, train_docs: int | None = None,
              enough: int | None = None) -> DataFrame:
     """doc_id, lang, n_tokens, perplexity, threshold and keep per row of ``docs``.
 
-    Trusted are documents labelled of quality 1 and not toxic. The threshold of a language (null is one too) is the
-    given quantile of all its trusted documents outside the training sample. Where these are fewer than ``enough`` (by default,
-    too few to have a part beyond the quantile: 100 for 0.99), nothing tells what is usual there: the threshold is infinite
+    Trusted are documents labelled of quality 1 and not toxic. Half of them train, the first by hash of the id (at most
+    ``train_docs``, if given). The threshold of a language (null is one too) is the given quantile of all its other
+    trusted documents. Where these are fewer than ``enough`` (by default, too few to have a part beyond the quantile: 100 for 0.99), nothing tells what is usual there: the threshold is infinite
     and all of the language is kept. Every row keeps its own language and score, also where a doc_id repeats or is
     null; labels count for every row of their doc_id. Null and empty texts are their end alone, texts are read whole, whatever their length, an
     empty table gives no rows, and other columns take no part, whatever their names.
     """
     ids = stored(labels.filter("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0").select("doc_id").distinct(),
                  "trusted")
-    train = min(train_docs, ids.count() // 2)
-    chosen = stored(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train), "split")
+    trusted = ids.count()
+    train = trusted // 2 if train_docs is None else min(train_docs, trusted // 2)
+    chosen = stored(_first(ids, train, trusted), "split")
     texts = docs.select("doc_id", "text").join(chosen, "doc_id")
-    model, unseen = fit(texts)
-    scores = stored(perplexity(docs, model, unseen), "perplexity")
+    model, unseen = fit(texts, _tokens(docs))
+    scores = perplexity(docs, model, unseen)
+    drop(docs.sparkSession, model)
     held = scores.join(ids.join(chosen, "doc_id", "left_anti"), "doc_id")
     if enough is None:
         enough = math.ceil(round(1 / (1 - quantile), 6)) if quantile < 1 else 1

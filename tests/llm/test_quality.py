@@ -151,3 +151,17 @@ def test_rows_keep_their_own_language(spark):
     held = {r.doc_id for r in labels.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").collect()[60:]}
     fr = [r.perplexity for r in got if r.lang == "fr" and r.doc_id in held]
     assert limits["fr"].pop() == pytest.approx(np.quantile(fr, 0.99), rel=1e-12)
+
+
+def test_half_of_all_trusted_documents_train_in_slices_and_shards(spark, make, monkeypatch):
+    monkeypatch.setattr(quality, "SLICE_TOKENS", 20_000)
+    monkeypatch.setattr(quality, "SHARD_TOKENS", 5_000)
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.integers(0, 40 + i // 8, 3 + i % 3))) for i in range(8_400)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(8_400)], "doc_id bigint, quality int, toxic int")
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    brute = Brute([rows[i][1] for i in order[:4_200]])
+    got = {r.doc_id: r for r in quality.classify(make(rows), labels).collect()}
+    assert len(got) == 8_400
+    for i in range(0, 8_400, 400):
+        assert got[i].perplexity == pytest.approx(brute.perplexity(rows[i][1])[1], rel=1e-9)
