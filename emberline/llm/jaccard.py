@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberline.llm.bitset import only
+from emberline.llm.bitset import bitset, holds
 from emberline.llm.components import connected, frees_shuffles, stored
 from emberline.llm.text import Chunk, chunks, mix, release_memory, runs
 
@@ -397,14 +397,21 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ the join
 
-def _own_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of the wanted class only: a row may share its id with others."""
-    for batch in batches:
-        for chunk in chunks(batch.column(1)):
-            part = batch.slice(chunk.first, chunk.last - chunk.first)
-            keep = [int(np.bitwise_xor.reduce(tokens, initial=np.uint64(0)).view(np.int64)) == one
-                    for tokens, one in zip(shingle_sets(chunk), part.column(2).to_pylist())]
-            yield part.select(["cid", "text"]).filter(pa.array(keep, pa.bool_()))
+def _texts_of(bits):
+    """Texts of documents whose id may be among the wanted ones (or is null), with their class: a row may share its id
+    with others."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0)
+            keep = holds(bits.value, np.asarray(ids.fill_null(0), np.int64)) | np.asarray(ids.is_null())
+            batch = batch.filter(pa.array(keep))
+            for chunk in chunks(batch.column(1)):
+                part = batch.slice(chunk.first, chunk.last - chunk.first)
+                ones = [int(np.bitwise_xor.reduce(tokens, initial=np.uint64(0)).view(np.int64))
+                        for tokens in shingle_sets(chunk)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ones, pa.int64())], ["doc_id", "text", "own"])
+
+    return run
 
 
 @frees_shuffles
@@ -440,11 +447,15 @@ def join(docs: DataFrame) -> DataFrame:
     # only what has a candidate goes on
     wanted = stored(places.select("cid").distinct().join(
         classes.select("cid", "least", "one", "vector", "n"), "cid"), "wanted")
+    # one step in Python: each further one of a stage has a worker of its own, which stays when the stage is done
+    may_be = docs.select("doc_id", "text").mapInArrow(
+        _texts_of(spark.sparkContext.broadcast(bitset(wanted.select("least")))), "doc_id bigint, text string, own bigint")
     texts = stored(wanted.select("cid", "least", "one").alias("w").join(
-        only(docs.select("doc_id", "text"), wanted.select("least")).alias("d"), F.col("w.least").eqNullSafe(F.col("d.doc_id"))).select(
-            "cid", "text", "one").mapInArrow(_own_class, "cid bigint, text string").dropDuplicates(["cid"]), "texts")
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    tested, roots, most, spanning = links, spark.createDataFrame([], "node bigint, root bigint"), 1, True
+        may_be.alias("d"), F.col("w.least").eqNullSafe(F.col("d.doc_id")) & (F.col("w.one") == F.col("d.own"))).select(
+            "cid", "text").dropDuplicates(["cid"]), "texts")
+    # from a range: rows handed over by the driver start Python workers of another kind
+    links, roots = (spark.range(0).selectExpr(f"id as {x}", f"id as {y}") for x, y in (("a", "b"), ("node", "root")))
+    tested, most, spanning = links, 1, True
     while True:
         points = places.join(wanted.select("cid", "vector", "n"), "cid").join(
             roots, F.col("cid") == F.col("node"), "left").select(

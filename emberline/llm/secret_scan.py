@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from itertools import product
 from re import _parser
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -172,8 +173,10 @@ def candidates(posted: DataFrame, queries: dict[str, list[list[str]]]) -> DataFr
     """(row, kinds): the rules of which some clause has all its trigrams posted for the row."""
     clauses = [(kind, number, trigram, len(clause)) for kind, query in queries.items()
                for number, clause in enumerate(query) for trigram in clause]
-    # as many rows as the rules' queries have trigrams
-    asked = posted.sparkSession.createDataFrame(clauses, "kind string, clause int, trigram string, wanted int")
+    # as many rows as the rules' queries have trigrams; as Arrow, since a list of rows would start Python workers
+    names, kinds = ("kind", "clause", "trigram", "wanted"), (pa.string(), pa.int32(), pa.string(), pa.int32())
+    asked = posted.sparkSession.createDataFrame(pa.table(
+        {name: pa.array([c[i] for c in clauses], kind) for i, (name, kind) in enumerate(zip(names, kinds))}))
     met = (posted.join(F.broadcast(asked), "trigram").groupBy(*_ROW, "kind", "clause")
            .agg(F.count(F.lit(1)).alias("found"), F.first("wanted").alias("wanted")).filter("found = wanted"))
     return met.groupBy(*_ROW).agg(F.collect_set("kind").alias("kinds"))

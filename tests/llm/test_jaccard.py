@@ -123,3 +123,24 @@ def test_clashing_columns_stay(spark):
     assert kept.columns == docs.columns
     assert sorted((str(r.doc_id), r._gone, r.row) for r in kept.collect()) == [
         ("3", "_gone", "row"), ("9", "_gone", "row"), ("None", "_gone", "row")]
+
+
+def test_stages_have_one_python_step(make, monkeypatch):
+    """A stage with several would have as many workers per task, which stay with their memory; rows from the driver start others."""
+    session, plans = type(make([]).sparkSession), []
+
+    def listed(self, data, *args, **options):
+        raise AssertionError("rows of the driver")
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return stored(df, label)
+
+    docs = make(near_copies())
+    stored = jaccard.stored
+    monkeypatch.setattr(session, "createDataFrame", listed)
+    monkeypatch.setattr(jaccard, "stored", noted)
+    assert jaccard.join(docs).count() == docs.count()
+    steps = re.compile(r"MapInArrow|MapInPandas|GroupsInPandas")
+    chained = [p for p in plans if len(steps.findall(p)) > 1 and "Groups" not in p]
+    assert plans and not chained
