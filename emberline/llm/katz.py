@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline.llm.components import frees_shuffles
-from emberline.llm.text import chunks, mix, runs
+from emberline.llm.text import chunks, different, in_shards, mix, runs
 from emberline.session import scratch_path
 
 ORDER = 2
@@ -89,8 +89,9 @@ class Block:
         self.block, self.docs, self.shards = row.block, row.doc_ids, shards
         self.sizes = np.frombuffer(row.sizes, np.int64)
         self.held = np.frombuffer(row.held, bool)
-        words = np.frombuffer(row.words, np.uint64)
-        tokens = words[np.frombuffer(row.tokens, np.int32)]
+        #: Different words, in order, and which of them each token is.
+        self.words, self.word = np.frombuffer(row.words, np.uint64), np.frombuffer(row.tokens, np.int32)
+        tokens = self.words[self.word]
         self.trains = np.repeat(~self.held, self.sizes)
         # each document after an end, which is the context of its first token
         self.place = np.arange(len(tokens)) + np.repeat(np.arange(len(self.sizes)) + 1, self.sizes)
@@ -109,7 +110,7 @@ class Block:
     def asked(self, order: int):
         """Different n-grams in order of shard, which of them each token has, and their training counts."""
         at, grams = self.grams(order)
-        keys, first, which = np.unique(grams, return_index=True, return_inverse=True)
+        keys, first, which = different(grams)
         keys, first, which = self._by_shard(keys, first, which)
         return at, keys, at[first], which, np.bincount(which, self.trains[at], len(keys)).astype(np.int64)
 
@@ -117,12 +118,12 @@ class Block:
         """Different contexts in order of shard, and which of them each token has."""
         at = np.flatnonzero(self.inside + 2 >= order)
         grams = (self.sequence if order == 2 else runs(self.sequence, order - 1))[self.place[at] - order + 1]
-        keys, first, which = np.unique(grams, return_index=True, return_inverse=True)
+        keys, first, which = different(grams)
         keys, first, which = self._by_shard(keys, first, which)
         return at, keys, at[first], which
 
     def _by_shard(self, keys, first, which):
-        order = np.argsort(mix(keys) % np.uint64(self.shards), kind="stable")
+        order, _ = in_shards(keys, self.shards)
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         return keys[order], first[order], back[which]

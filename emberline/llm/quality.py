@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from emberline.llm.components import frees_shuffles, stored
 from emberline.llm.katz import Block, _bytes, _numbers, blocks
-from emberline.llm.text import mix
+from emberline.llm.text import different, in_shards, mix
 from emberline.operators.order_stats import kth_values
 from emberline.session import remove_path, scratch_path
 
@@ -94,12 +94,29 @@ def _before(block: Block, tokens: np.ndarray) -> np.ndarray:
     return np.where(block.inside[tokens] > 0, tokens - 1, block.ends_at[0])
 
 
-def _by_token(block: Block, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """A block's different n-grams in order of shard, and which of them ends at each token (-1: none)."""
-    at, keys, _, which, _ = block.asked(order)
+def _by_token(block: Block, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's different n-grams in order of shard, where each shard's start, and which of them ends at each token (-1: none)."""
+    if order == 1:
+        at, keys, which = slice(None), block.words, block.word  # found when the block was made
+    else:
+        at, grams = block.grams(order)
+        keys, _, which = different(grams)
+    sorted_, cuts = in_shards(keys, block.shards)
+    back = np.empty(len(keys), np.int64)
+    back[sorted_] = np.arange(len(keys))
     out = np.full(len(block.inside), -1)
-    out[at] = which
-    return keys, out
+    out[at] = back[which]
+    return keys[sorted_], cuts, out
+
+
+def _keys(block: Block, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """A block's different n-grams in order of shard, and where each shard's start."""
+    keys = block.words
+    if order > 1:
+        grams = np.sort(block.grams(order)[1])
+        keys = grams[np.concatenate([[True], grams[1:] != grams[:-1]])[:len(grams)]]
+    sorted_, cuts = in_shards(keys, block.shards)
+    return keys[sorted_], cuts
 
 
 # ------------------------------------------------------------------ the model
@@ -117,8 +134,7 @@ def _merged(order: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("block")
         cuts = np.cumsum([len(k) // 8 for k in rows["keys"]])[:-1]
-        unique, first, which = np.unique(np.concatenate([np.frombuffer(k, np.uint64) for k in rows["keys"]]),
-                                         return_index=True, return_inverse=True)
+        unique, first, which = different(np.concatenate([np.frombuffer(k, np.uint64) for k in rows["keys"]]))
         sums = [np.bincount(which, np.concatenate([_numbers(s) for s in column]), len(unique)).astype(np.int64)
                 for column in zip(*rows["sums"])]
         count, owned = sums[0], np.zeros(len(which), bool)
@@ -143,7 +159,7 @@ def _lower(row, answers: pd.DataFrame, order: int, shards: int) -> pd.DataFrame:
     owned = np.concatenate([np.empty(0, bool), *[
         np.unpackbits(np.frombuffer(v, np.uint8), count=len(p)).astype(bool) for v, p in zip(answers["second"], parts[1:])]])
     count, own = np.concatenate(parts)[owned], first[owned]
-    keys, which = _by_token(block, order - 1)
+    keys, _, which = _by_token(block, order - 1)
     context = which[_before(block, own)]
     counts = np.bincount(which[own], minlength=len(keys))
     if order > 2:
@@ -258,8 +274,8 @@ def _chances(block: Block, answers: pd.DataFrame, model: Model, unseen: float) -
     found, asked = list(answers["answers"]), answers["shard"].to_numpy()
     chance = contexts = None
     for order in range(1, ORDER + 1):
-        keys, which = _by_token(block, order)
-        sizes = np.diff(_cuts(keys, model.shards))[asked].tolist()
+        keys, cuts, which = _by_token(block, order)
+        sizes = np.diff(cuts)[asked].tolist()
         known = np.concatenate([np.unpackbits(np.frombuffer(a[place], np.uint8), count=n) for a, n in zip(found, sizes)])
         known, sums = np.flatnonzero(known), []
         for column in range(place + 1, place + (2 if order == ORDER else 6)):
@@ -282,23 +298,22 @@ def _chances(block: Block, answers: pd.DataFrame, model: Model, unseen: float) -
     return chance
 
 
-def perplexity(docs: DataFrame, model: Model, unseen: float) -> DataFrame:
+def perplexity(docs: DataFrame, model: Model, unseen: float, asked: int | None = None) -> DataFrame:
     """doc_id, n_tokens (words and one end), perplexity and lang (null, if ``docs`` has none) per row of ``docs``.
 
     A null or empty text is its end alone; rows that repeat are scored each; an empty table gives no rows; texts are
     read whole, whatever their length; other columns take no part, whatever their names. ``docs`` is read once per slice,
-    so hand in a stored table.
+    so hand in a stored table. Their tokens are counted, unless it is told how many are ``asked``, roughly.
     """
     spark, shards, path = docs.sparkSession, model.shards, scratch_path(docs.sparkSession, "perplexity")
-    slices = max(1, min(SLICES, math.ceil(_tokens(docs) / SLICE_TOKENS)))
+    slices = max(1, min(SLICES, math.ceil((_tokens(docs) if asked is None else asked) / SLICE_TOKENS)))
     entries = spark.table(model.table)
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples():
                 block = Block(row, shards)
-                keys = [block.asked(order)[1] for order in range(1, ORDER + 1)]
-                cuts = [_cuts(k, shards) for k in keys]
+                keys, cuts = zip(*[_keys(block, order) for order in range(1, ORDER + 1)])
                 some = np.flatnonzero(sum(np.diff(c) for c in cuts)).tolist()
                 yield pd.DataFrame({"shard": some, "block": [row.block] * len(some), "keys": [
                     [k[c[i]:c[i + 1]].tobytes() for k, c in zip(keys, cuts)] for i in some]})
@@ -393,8 +408,9 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, tra
     train = trusted // 2 if train_docs is None else min(train_docs, trusted // 2)
     chosen = stored(_first(ids, train, trusted), "split")
     texts = docs.select("doc_id", "text").join(chosen, "doc_id")
-    model, unseen = fit(texts, _tokens(docs))
-    scores = perplexity(docs, model, unseen)
+    tokens = _tokens(docs)
+    model, unseen = fit(texts, tokens)
+    scores = perplexity(docs, model, unseen, tokens)
     drop(docs.sparkSession, model)
     held = scores.join(ids.join(chosen, "doc_id", "left_anti"), "doc_id")
     if enough is None:

@@ -41,6 +41,25 @@ def mix(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def different(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``np.unique`` with the first places and the inverse, without its stable sort of 64-bit numbers."""
+    if not len(values):
+        return values, np.empty(0, np.int64), np.empty(0, np.int64)
+    order = np.argsort(values)
+    ordered = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], np.minimum.reduceat(order, np.flatnonzero(new)), which
+
+
+def in_shards(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the keys in order of shard, otherwise as they are, and where each shard's start in that order."""
+    shard = (mix(keys) % np.uint64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)  # two bytes are sorted by digits
+    return np.argsort(shard, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+
+
 @dataclass
 class Chunk:
     """Rows ``first`` to ``last`` of a batch with the words of their texts."""

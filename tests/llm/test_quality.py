@@ -1,12 +1,13 @@
 import math
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from emberline.llm import quality
+from emberline.llm import katz, quality, text
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -165,3 +166,43 @@ def test_half_of_all_trusted_documents_train_in_slices_and_shards(spark, make, m
     assert len(got) == 8_400
     for i in range(0, 8_400, 400):
         assert got[i].perplexity == pytest.approx(brute.perplexity(rows[i][1])[1], rel=1e-9)
+
+
+def test_ngrams_of_a_block_without_a_stable_sort(monkeypatch):
+    """The same n-grams, shards and places as by ``np.unique``; the words are those found when the block was made."""
+    rng = np.random.default_rng(5)
+    sizes = np.array([1, 40, 2, 300, 1])
+    words, tokens = np.unique(rng.integers(1, 60, sizes.sum()).astype(np.uint64) * np.uint64(1 << 57), return_inverse=True)
+    tokens[np.cumsum(sizes) - 1] = len(words)
+    words = np.append(words, katz.END)
+    order = np.argsort(words)
+    words, tokens = words[order], np.argsort(order)[tokens]
+    row = SimpleNamespace(block=3, doc_ids=[1, 2, 3, 4, 5], sizes=sizes.tobytes(), held=np.zeros(5, bool).tobytes(),
+                          words=words.tobytes(), tokens=tokens.astype(np.int32).tobytes())
+    block = katz.Block(row, 4)
+    unique = np.unique
+
+    def refused(*args, **options):
+        raise AssertionError("a stable sort")
+
+    for order in (1, 2, 3):
+        at, grams = block.grams(order)
+        expected = sorted(unique(grams).tolist(), key=lambda k: (int(text.mix(np.array([k], np.uint64))[0]) % 4, k))
+        monkeypatch.setattr(np, "unique", refused)
+        keys, cuts, which = quality._by_token(block, order)
+        asked, asked_cuts = quality._keys(block, order)
+        monkeypatch.setattr(np, "unique", unique)
+        assert keys.tolist() == asked.tolist() == expected and cuts.tolist() == asked_cuts.tolist()
+        assert [int(text.mix(keys[a:b])[0] % np.uint64(4)) for a, b in zip(cuts, cuts[1:]) if b > a] == [
+            k for k in range(4) if cuts[k + 1] > cuts[k]]
+        assert keys[which[at]].tolist() == grams.tolist() and (np.delete(which, at) == -1).all()
+        first = unique(grams, return_index=True)[1]
+        assert sorted(block.asked(order)[2].tolist()) == sorted(at[first].tolist())
+
+
+def test_the_corpus_is_counted_once(documents, spark, sf_dir, monkeypatch):
+    counted = []
+    tokens = quality._tokens
+    monkeypatch.setattr(quality, "_tokens", lambda docs: counted.append(docs) or tokens(docs))
+    quality.classify(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert len(counted) == 1
