@@ -33,8 +33,8 @@ STEPS = 1024
 DIRECT = 10_000
 #: Training tokens of a shard, and a quarter of the tokens scored by one.
 SHARD_TOKENS = 500_000
-#: Most slices that documents are scored in, and least tokens of one.
-SLICES = 16
+#: Most slices that documents are scored in (each reads them and the model again; fewer put more on disk), and least tokens of one.
+SLICES = 10
 SLICE_TOKENS = 4_000_000
 #: Characters of a word, roughly: only the number of shards follows from it.
 _WORD_CHARS = 6
