@@ -42,6 +42,8 @@ LEAF = 16
 SLOT_SETS = 200
 VERIFY_ROWS = 1000
 FAN = 256
+#: Points that sets of a slot which overlap by half may have together, so that one tree serves them all.
+TOGETHER = 4 * BLOCK
 
 # ------------------------------------------------------------------ shingles
 
@@ -239,8 +241,9 @@ class CountTree:
                 np.array([self.sizes[o].max() for o in own]), np.array([self.parts[o].min() for o in own]),
                 np.array([self.parts[o].max() for o in own]))
 
-    def meeting_leaves(self) -> list[tuple[int, int]]:
-        """Pairs of leaves whose boxes can reach the bound, level by level from the root."""
+    def meeting_leaves(self, sought: np.ndarray | None = None) -> list[tuple[int, int]]:
+        """Pairs of leaves whose boxes can reach the bound, level by level from the root; with ``sought`` those that hold
+        one of these points at least."""
         pairs, before = [(0, 0)], self.levels[0]
         for spans in self.levels[1:] or [self.levels[0]]:
             if not pairs:
@@ -252,23 +255,30 @@ class CountTree:
             a, b = np.array(next_pairs).T
             keep = (5 * most_size[a] >= 4 * least_size[b]) & (5 * most_size[b] >= 4 * least_size[a])
             keep &= ~((least_part[a] == most_part[a]) & (least_part[b] == most_part[b]) & (least_part[a] == least_part[b]))
+            if sought is not None:
+                any_sought = np.array([sought[self.order[x:y]].any() for x, y in spans])
+                keep &= any_sought[a] | any_sought[b]
+                a, b, next_pairs, keep = a[keep], b[keep], [next_pairs[i] for i in np.flatnonzero(keep)], keep[keep]
             for block in np.array_split(np.arange(len(a)), len(a) // 4096 + 1):
                 shared = np.minimum(most[a[block]], most[b[block]]).sum(1, dtype=np.int64)
                 keep[block] &= 9 * shared >= 4 * (least_size[a[block]] + least_size[b[block]])
             pairs, before = [next_pairs[i] for i in np.flatnonzero(keep)], spans
         return pairs
 
-    def candidates(self, spanning: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def candidates(self, spanning: bool, sought: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of points of different components that the bound lets pass, in blocks.
 
-        ``spanning`` only looks within leaves and at the step from one to the next.
+        ``spanning`` only looks within leaves and at the step from one to the next. Leaves meet only while they hold a point
+        that is ``sought``, which may change in between.
         """
         if spanning:
             leaves = [(i, i) for i in range(len(self.leaves))] + [(i, i + 1) for i in range(len(self.leaves) - 1)]
         else:
-            leaves = self.meeting_leaves()
+            leaves = self.meeting_leaves(sought)
         for p, q in leaves:
             x, y = self.order[slice(*self.leaves[p])], self.order[slice(*self.leaves[q])]
+            if sought is not None and not (sought[x].any() or sought[y].any()):
+                continue
             if spanning and p != q:
                 x, y = x[-1:], y[:1]
             a, b = np.repeat(x, len(y)), np.tile(y, len(x))
@@ -301,9 +311,10 @@ class _Slot:
     def candidates(self, spanning: bool, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, ...]]:
         """Pairs of points in different components that reach the bound, and by how much; some more than once.
 
-        Large sets all of whose points are ``known`` are left out.
+        With ``known``, which the caller marks as pairs come, pairs of two known points may be left out: a large set is
+        looked through for points still unknown, the nearest pairs first.
         """
-        small_a, small_b = [], []
+        small_a, small_b, large = [], [], []
         for members in self.met:
             own = np.searchsorted(self.ids, np.asarray(members, np.int64))
             own = own[own < len(self.ids)]
@@ -315,22 +326,49 @@ class _Slot:
                 small_a.append(own[a])
                 small_b.append(own[b])
                 continue
-            if known is not None and known[own].all():
-                continue
+            large.append(own)
+        for own in self._together(large):
             tree = CountTree(self.vectors[own], self.sizes[own], self.parts[own])
-            for a, b in tree.candidates(spanning):
-                ok, spare = passing(tree.points, tree.sizes, a, b)
-                yield own[a[ok]], own[b[ok]], spare[ok]
+            for near in (True, False) if known is not None and not spanning else (spanning,):
+                sought = None if known is None else ~known[own]
+                if sought is not None and not sought.any():
+                    break
+                for a, b in tree.candidates(near, sought):
+                    ok, spare = passing(tree.points, tree.sizes, a, b)
+                    yield own[a[ok]], own[b[ok]], spare[ok]
+                    if sought is not None:
+                        sought[:] = ~known[own]
         if small_a:
             pairs = np.unique(np.concatenate(small_a) * len(self.ids) + np.concatenate(small_b))
             a, b = pairs // len(self.ids), pairs % len(self.ids)
             sizes = self.sizes
             apart = (self.parts[a] != self.parts[b]) & (5 * sizes[a] >= 4 * sizes[b]) & (5 * sizes[b] >= 4 * sizes[a])
+            if known is not None:
+                apart &= ~(known[a] & known[b])
             a, b = a[apart], b[apart]
             ok, spare = passing(self.vectors, sizes, a, b)
             yield a[ok], b[ok], spare[ok]
 
 
+    def _together(self, sets: list[np.ndarray]) -> list[np.ndarray]:
+        """Unions of sets of points: pairs of many sets are then looked at once, and some that are in no set."""
+        unions: list[np.ndarray] = []
+        held = np.full(len(self.ids), -1)
+        for own in sorted(sets, key=len, reverse=True):
+            seen = held[own]
+            shared = np.bincount(seen[seen >= 0], minlength=1)
+            most = int(shared.argmax())
+            if 2 * shared[most] >= len(own):
+                whole = np.union1d(unions[most], own)
+                if len(whole) <= max(TOGETHER, len(unions[most])):
+                    unions[most] = whole
+                    held[own] = most
+                    continue
+            held[own] = len(unions)
+            unions.append(own)
+        return unions
+
+
 def _possible(met: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
     """The points that have any candidate at all."""
     slot = _Slot(met, points)
